@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Items the heavy-hitter sketch follows, per key that may be reported.
-_TRACKED_PER_KEY = 20
+from .ranking import top_k
 
 
 def dimension_snapshot(
@@ -42,21 +40,20 @@ def require_unique(dim: DataFrame, key: str) -> DataFrame:
     return dim.filter(F.when(most <= 1, F.lit(True)).otherwise(complaint))
 
 
-def hot_keys(facts: DataFrame, key: str, share: float) -> Column:
-    """Keys that hold about `share` of all rows or more, as an array subquery.
+def hot_keys(facts: DataFrame, key: str, limit: int) -> Column:
+    """The `limit` most frequent keys as an array, a scalar subquery.
 
-    One pass over the key column with a mergeable heavy-hitter sketch. At most
-    1/share keys come out. The sketch may miss or add a borderline key, so use
-    the result to spread work only, never to decide what a result contains.
+    Counting merges map-side and each task keeps `limit` keys, so neither a hot
+    key nor many rare ones end up in one place. A key with more than 1/limit of
+    all rows is always among them.
     """
-    limit = math.ceil(1 / share)
-    sketch = F.expr(f"approx_top_k(`{key}`, {limit}, {limit * _TRACKED_PER_KEY})")
-    seen = facts.agg(sketch.alias("top"), F.count(F.lit(1)).alias("rows"))
-    frequent = F.filter(
-        "top",
-        lambda entry: entry["item"].isNotNull() & (entry["count"] >= F.col("rows") * share),
+    frequent = (
+        facts.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .transform(top_k, [F.desc("rows"), key], limit)
     )
-    return seen.select(F.transform(frequent, lambda entry: entry["item"]).alias("hot")).scalar()
+    return frequent.agg(F.collect_list(key).alias("hot")).scalar()
 
 
 def enrich_left(
@@ -66,16 +63,17 @@ def enrich_left(
     *,
     unique: bool = True,
     salt_buckets: int = 0,
-    hot_share: float = 0.01,
+    hot_limit: int = 100,
 ) -> DataFrame:
     """Left join on the one key column; facts without a match keep nulls.
 
     No broadcast is forced: the planner broadcasts `dim` when its measured size
     allows. Otherwise both sides shuffle on the key and adaptive execution
-    splits a hot partition. With `salt_buckets` the hot keys, and facts with a
-    null key, are spread explicitly: their facts over that many buckets, and
-    only their (at most 1/hot_share) dimension rows are repeated per bucket.
-    That also works where the join output feeds an aggregation on the same key.
+    splits a hot partition. With `salt_buckets` the `hot_limit` most frequent
+    keys and the null key are spread explicitly: their facts over that many
+    buckets by row hash, and only their dimension rows are repeated per bucket.
+    That also works where the join output feeds an aggregation on the same key,
+    which keeps adaptive execution from splitting.
 
     `unique=False` lets a dimension with several rows per key multiply facts.
     """
@@ -83,7 +81,7 @@ def enrich_left(
     if not salt_buckets:
         return facts.join(checked, on=on, how="left")
 
-    hot = hot_keys(facts, on, hot_share)
+    hot = hot_keys(facts, on, hot_limit)
     key = F.col(on)
     # A function of the row, so a re-run task sends it to the same place again.
     spread = F.pmod(F.xxhash64(*facts.columns), F.lit(salt_buckets)).cast("int")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Distinct rounded scores one histogram bucket can hold.
 _SCORES_PER_BUCKET = 10_000
 
@@ -22,7 +24,9 @@ def global_rank(
     rounded to `digits`, so a bucket of the histogram holds a bounded number of
     scores and only bucket totals are summed in a single task. Nulls come last.
 
-    `df` is read twice; hand in a stored table, not a long computation.
+    `df` is read twice; hand in a stored table, not a long computation. The
+    ranks, one row per score, are stored as well: with their size known the
+    planner broadcasts them if they are small, and `df` is not shuffled at all.
     """
     width = float(_SCORES_PER_BUCKET) / 10**digits
     histogram = (
@@ -53,7 +57,8 @@ def global_rank(
     ranks = inside.join(buckets, F.col("_bucket").eqNullSafe(F.col("_of"))).select(
         "_score", (ahead + 1).cast(kind).alias(name)
     )
-    return df.join(ranks, F.col(score).eqNullSafe(F.col("_score")), "left").drop("_score")
+    stored = materialize(ranks, name)
+    return df.join(stored, F.col(score).eqNullSafe(F.col("_score")), "left").drop("_score")
 
 
 def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:

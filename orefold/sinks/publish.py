@@ -102,9 +102,10 @@ def _set_loaded_table_aside(spark: SparkSession, layer: str, table: str) -> None
 def _drop_old_versions(
     spark: SparkSession, layer: str, table: str, current: str, keep: int
 ) -> None:
-    prefix = _version_prefix(table)
-    current_name = current.rsplit(".", 1)[1]
+    prefix = _version_prefix(table).lower()
+    current_name = current.rsplit(".", 1)[1].lower()
     listed = spark.sql(f"SHOW TABLES IN {_quoted(layer)} LIKE '{prefix}*'").collect()
-    older = sorted(row.tableName for row in listed if row.tableName < current_name)
+    names = (row.tableName.lower() for row in listed)
+    older = sorted(name for name in names if name < current_name)
     for name in older[: max(0, len(older) - keep)]:
         spark.sql(f"DROP TABLE IF EXISTS {_quoted(f'{layer}.{name}')}")

@@ -157,9 +157,12 @@ def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_derived(cleaned: DataFrame) -> DataFrame:
+    return cleaned.withColumns({name: make() for name, make in LINES.derived.items()})
+
+
 def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    derived = {name: make() for name, make in LINES.derived.items()}
-    return clean_lines(spark, sf_dir).withColumns(derived)
+    return with_derived(clean_lines(spark, sf_dir))
 
 
 def part_dim(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -158,14 +158,12 @@ SELECT {_KEYS}, nullif(price_s, '?') AS price_s FROM raw_lines""",
     "q07_typed_cast": f"SELECT {_KEYS}, qty, price FROM clean_lines",
     "q07b_lenient_cast": f"""
 SELECT {_KEYS}, TRY_CAST(qty_s AS INTEGER) AS qty_s,
-  TRY_CAST(price_s AS DOUBLE) AS price_s, TRY_CAST(flag_s AS INTEGER) AS flag_s,
-  l_linestatus
+  TRY_CAST(price_s AS DOUBLE) AS price_s, flag_s, l_linestatus
 FROM raw_lines""",
     "q07c_cast_rejects": """
 SELECT
   count(*) FILTER (qty_s IS NOT NULL AND TRY_CAST(qty_s AS INTEGER) IS NULL) AS qty_s,
-  count(*) FILTER (price_s IS NOT NULL AND TRY_CAST(price_s AS DOUBLE) IS NULL) AS price_s,
-  count(*) FILTER (flag_s IS NOT NULL AND TRY_CAST(flag_s AS INTEGER) IS NULL) AS flag_s
+  count(*) FILTER (price_s IS NOT NULL AND TRY_CAST(price_s AS DOUBLE) IS NULL) AS price_s
 FROM raw_lines""",
     "q11_filter_not_null": f"SELECT {_KEYS}, price FROM line_facts WHERE price IS NOT NULL",
     "q13_filter_not_equals": f"SELECT {_KEYS}, band FROM line_facts WHERE band <> 'unknown'",

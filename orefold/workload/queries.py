@@ -55,6 +55,7 @@ from .lines import (
     named_lines,
     part_dim,
     raw_lines,
+    with_derived,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,7 +136,8 @@ def typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(spark, sf_dir).select(*ROW_KEYS, "qty", "price")
 
 
-_RAW_TYPES = {"qty_s": "int", "price_s": "double", "flag_s": "int"}
+# The masked prices are still in: they are what a lenient cast rejects.
+_RAW_TYPES = {"qty_s": "int", "price_s": "double"}
 
 
 def lenient_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,10 +322,10 @@ def panel_treemap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The order uses fact columns only, so the ten rows are picked before the
-    # join, which neither drops nor repeats them.
+    # The order uses cleaned columns only, so the ten rows are picked before the
+    # derived columns and the join, which neither drop nor repeat rows.
     order = [*ROW_KEYS, "price", "qty", "flag", "l_linestatus"]
-    picked = top_k(line_facts(spark, sf_dir), order, 10)
+    picked = with_derived(top_k(clean_lines(spark, sf_dir), order, 10))
     shown = [*ROW_KEYS, "price", "band", "blended", "is_open", "d_type", "d_size"]
     return first_rows(enrich_left(picked, part_dim(spark, sf_dir), LINES.key), shown, 10)
 

@@ -1,0 +1,98 @@
+import pytest
+from pyspark.sql import functions as F
+
+from orefold.sinks import ensure_layer, publish
+from orefold.sources import read_table
+
+from .conftest import rows
+
+
+@pytest.fixture
+def layer(spark, request, tmp_path):
+    name = "t_" + request.node.name.lower()[:40]
+    return name, str(tmp_path / name)
+
+
+def versions(spark, layer, table):
+    names = (r.tableName for r in spark.sql(f"SHOW TABLES IN {layer}").collect())
+    return sorted(n for n in names if n.startswith(f"{table}__v"))
+
+
+def test_publish_counts_and_replaces_data_and_schema(spark, layer):
+    name, folder = layer
+    first = publish(spark.range(10), name, "t", location=folder)
+    assert (first.table, first.rows) == (f"{name}.t", 10)
+    second = publish(spark.range(3).withColumn("x", F.lit("a")), name, "t", location=folder)
+    assert second.rows == 3
+    assert read_table(spark, f"{name}.t").columns == ["id", "x"]
+    assert read_table(spark, first.version).count() == 10
+
+
+def test_publishing_twice_changes_nothing(spark, layer):
+    name, folder = layer
+    for _ in range(2):
+        publish(spark.range(5), name, "t", location=folder)
+        assert rows(read_table(spark, f"{name}.t")) == [(i,) for i in range(5)]
+
+
+def test_old_versions_go_but_one(spark, layer):
+    name, folder = layer
+    made = [publish(spark.range(n), name, "t", location=folder) for n in range(1, 5)]
+    publish(spark.range(7), name, "t_other", location=folder)
+    kept = [f"{name}.{v}" for v in versions(spark, name, "t")]
+    assert kept == [made[2].version, made[3].version]
+
+
+def test_empty_frame(spark, layer):
+    name, folder = layer
+    assert publish(spark.range(0), name, "t", location=folder).rows == 0
+    assert read_table(spark, f"{name}.t").count() == 0
+
+
+def test_rewrite_reads_the_table_it_replaces(spark, layer):
+    name, folder = layer
+    publish(spark.range(4), name, "t", location=folder)
+    publish(read_table(spark, f"{name}.t").withColumn("twice", F.col("id") * 2), name, "t")
+    assert rows(read_table(spark, f"{name}.t")) == [(0, 0), (1, 2), (2, 4), (3, 6)]
+
+
+def test_rewrite_of_a_table_loaded_by_other_means(spark, layer):
+    name, folder = layer
+    ensure_layer(spark, name, folder)
+    spark.range(4).write.saveAsTable(f"{name}.t")
+    publish(read_table(spark, f"{name}.t").withColumn("x", F.lit(1)), name, "t")
+    assert rows(read_table(spark, f"{name}.t")) == [(i, 1) for i in range(4)]
+    assert spark.table(f"{name}.t__v0_loaded").count() == 4
+    publish(spark.range(1), name, "t")
+    assert "t__v0_loaded" not in versions(spark, name, "t")
+
+
+def test_a_refused_version_leaves_the_old_table(spark, layer):
+    name, folder = layer
+    publish(spark.range(4), name, "t", location=folder)
+
+    def refuse():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError, match="no"):
+        publish(spark.range(9), name, "t", before_swap=refuse)
+    assert read_table(spark, f"{name}.t").count() == 4
+    assert len(versions(spark, name, "t")) == 1
+
+
+def test_a_failing_write_leaves_the_old_table(spark, layer):
+    name, folder = layer
+    publish(spark.range(4), name, "t", location=folder)
+    broken = spark.range(4).select(F.raise_error(F.lit("bad row")).cast("int").alias("id"))
+    with pytest.raises(Exception, match="bad row"):
+        publish(broken, name, "t")
+    assert read_table(spark, f"{name}.t").count() == 4
+
+
+def test_filters_reach_the_files_through_the_published_name(spark, layer):
+    from .conftest import plan_of
+
+    name, folder = layer
+    publish(spark.range(4).withColumn("x", F.lit("a")), name, "t", location=folder)
+    plan = plan_of(read_table(spark, f"{name}.t").filter("id = 3").select("id"))
+    assert "EqualTo(id,3)" in plan and "ReadSchema: struct<id:bigint>" in plan
