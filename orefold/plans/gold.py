@@ -45,7 +45,8 @@ def read_gold(spark: SparkSession, layer: str, table: GoldTable) -> DataFrame:
     """A published gold table in its reading order.
 
     Sorting belongs here: a sort before the write costs a range shuffle and is
-    not kept by the readers of the files anyway.
+    not kept by the readers of the files anyway. The group keys break ties, so
+    that many rows with one value can still be spread over tasks.
     """
     stored = read_table(spark, f"{layer}.{table.name}")
-    return stored if table.order is None else stored.orderBy(table.order())
+    return stored if table.order is None else stored.orderBy(table.order(), *table.keys)

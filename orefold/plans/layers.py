@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,7 +19,7 @@ from ..operators import (
     reject_counters,
     sentinel_to_null,
 )
-from ..sinks import Published, publish
+from ..sinks import Published, ensure_layer, publish
 from ..sources import (
     drop_bronze_audit,
     read_csv_declared,
@@ -157,6 +158,8 @@ def run_layers(
     more Silver is left as it was.
     """
     report = Report()
+    for layer in (layers.bronze, layers.silver, layers.gold):
+        ensure_layer(spark, layer, layers.folder(layer))
 
     def put(df: DataFrame, layer: str, name: str, gate=None) -> Published:
         return publish(
@@ -168,9 +171,11 @@ def run_layers(
             before_swap=gate,
         )
 
-    for raw in (build.facts, build.dimension):
+    def put_bronze(raw: RawTable) -> Published:
         audited = with_bronze_audit(sources[raw.name], raw.source_file)
-        report.bronze[raw.name] = put(audited, layers.bronze, raw.name)
+        return put(audited, layers.bronze, raw.name)
+
+    report.bronze = _side_by_side(put_bronze, (build.facts, build.dimension))
 
     facts = read_table(spark, f"{layers.bronze}.{build.facts.name}")
     dimension = read_table(spark, f"{layers.bronze}.{build.dimension.name}")
@@ -184,12 +189,20 @@ def run_layers(
     report.silver = put(silver, layers.silver, build.silver, gate)
 
     stored = read_table(spark, f"{layers.silver}.{build.silver}")
-    for table in build.gold:
-        made = with_gold_audit(build_gold(stored, table))
-        report.gold[table.name] = put(made, layers.gold, table.name)
+
+    def put_gold(table: GoldTable) -> Published:
+        return put(with_gold_audit(build_gold(stored, table)), layers.gold, table.name)
+
+    report.gold = _side_by_side(put_gold, build.gold)
     return report
 
 
+def _side_by_side(put: Callable, tables: Sequence) -> dict[str, Published]:
+    """Publish independent tables at once, so one job's last tasks leave no slot idle."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        return dict(zip((t.name for t in tables), pool.map(put, tables)))
+
+
 def _gated(
     facts: DataFrame, build: Build, max_rejects: int
 ) -> tuple[DataFrame, Callable[[], None]]:

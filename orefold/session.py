@@ -61,8 +61,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no earlier call has returned."""
-    return f"{shared_dir(spark)}/orefold/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no earlier call has returned.
+
+    All paths of one application share a parent, which can go once it is over.
+    """
+    application = spark.conf.get("spark.app.id", "application")
+    return f"{shared_dir(spark)}/orefold/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

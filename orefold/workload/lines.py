@@ -12,7 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import band, flag, safe_ratio, weighted_blend
-from ..operators import Measure, cast_columns, enrich_left, normalize_text, sentinel_to_null
+from ..operators import (
+    Measure,
+    cast_columns,
+    enrich_left,
+    normalize_text,
+    ordinal,
+    sentinel_to_null,
+)
 from ..plans.gold import GoldTable, RankBy
 from ..plans.layers import Build, RawTable, clean_dimension
 
@@ -41,6 +48,7 @@ GOLD_BY_KEY = GoldTable(
         Measure("avg_retail", "mean", "d_retail", 0),
         Measure("avg_size", "mean", "d_size", 1),
     ),
+    order=lambda: F.desc("avg_price"),
 )
 GOLD_BY_STYLE = GoldTable(
     name="flag_summary",
@@ -53,6 +61,7 @@ GOLD_BY_STYLE = GoldTable(
         Measure("avg_qty", "mean", "qty", 0),
         Measure("total_open", "true_rows", "is_open"),
     ),
+    order=lambda: F.desc("total_lines"),
 )
 EFFICIENCY_FACT_MEASURES = (
     Measure("avg_blended", "mean", "blended", 1),
@@ -70,6 +79,7 @@ GOLD_EFFICIENCY = GoldTable(
         Measure("avg_size", "mean", "d_size", 0),
     ),
     rank=RankBy("avg_blended", "efficiency_rank", 1),
+    order=lambda: F.asc("efficiency_rank"),
 )
 GOLD_BY_SEGMENT = GoldTable(
     name="band_analysis",
@@ -85,6 +95,7 @@ GOLD_BY_SEGMENT = GoldTable(
         Measure("avg_retail", "mean", "d_retail", 0),
         Measure("pct_open", "true_percent", "is_open", 1),
     ),
+    order=lambda: ordinal("band", BAND_ORDER),
 )
 
 LINES = Build(

@@ -140,6 +140,7 @@ GROUP BY lang""",
 SELECT CAST(sum(copies) AS BIGINT) AS rows_before, count(*) AS rows_after,
   CAST(sum(copies) - count(*) AS BIGINT) AS rows_removed
 FROM (SELECT count(*) AS copies FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
+    "q10b_observed_count": "SELECT count(*) AS rows_written FROM lineitem",
     "q12_filter_equals": """
 SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'""",
     "q15b_order_band": f"""
@@ -162,8 +163,8 @@ SELECT {_KEYS}, TRY_CAST(qty_s AS INTEGER) AS qty_s,
 FROM raw_lines""",
     "q07c_cast_rejects": """
 SELECT
-  count(*) FILTER (qty_s IS NOT NULL AND TRY_CAST(qty_s AS INTEGER) IS NULL) AS qty_s,
-  count(*) FILTER (price_s IS NOT NULL AND TRY_CAST(price_s AS DOUBLE) IS NULL) AS price_s
+  count(*) FILTER (WHERE qty_s IS NOT NULL AND TRY_CAST(qty_s AS INTEGER) IS NULL) AS qty_s,
+  count(*) FILTER (WHERE price_s IS NOT NULL AND TRY_CAST(price_s AS DOUBLE) IS NULL) AS price_s
 FROM raw_lines""",
     "q11_filter_not_null": f"SELECT {_KEYS}, price FROM line_facts WHERE price IS NOT NULL",
     "q13_filter_not_equals": f"SELECT {_KEYS}, band FROM line_facts WHERE band <> 'unknown'",
