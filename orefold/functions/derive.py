@@ -9,11 +9,13 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numeric import round_value
+
 
 def safe_ratio(numerator: str, denominator: str, digits: int) -> Column:
     """Rounded quotient; null unless the denominator is known and positive."""
     top, bottom = F.col(numerator), F.col(denominator)
-    return F.when(bottom > 0, F.round(top / bottom, digits))
+    return F.when(bottom > 0, round_value(top / bottom, digits))
 
 
 def band(
@@ -31,7 +33,7 @@ def band(
 def weighted_blend(weights: Mapping[str, float], digits: int) -> Column:
     """Rounded weighted sum; null as soon as one part is null."""
     terms = [F.col(name) * F.lit(float(weight)) for name, weight in weights.items()]
-    return F.round(reduce(add, terms), digits)
+    return round_value(reduce(add, terms), digits)
 
 
 def flag(column: str, value: str) -> Column:

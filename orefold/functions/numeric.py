@@ -1,4 +1,4 @@
-"""Rounding of aggregated values."""
+"""Rounding of row values and of averages."""
 
 from __future__ import annotations
 
@@ -9,6 +9,27 @@ from pyspark.sql import functions as F
 _ALL_INTEGRAL = float(2**52)
 
 
+# Scaled values below this carry less than a tenth of _NEAR_TIE of binary error.
+_SCALED_LIMIT = 1e9
+_NEAR_TIE = 1e-6
+
+
+def round_value(value: Column, digits: int) -> Column:
+    """Same result as `round(value, digits)`, cheaper on most rows.
+
+    `round` of a double goes through its decimal print. That is needed only
+    close to a tie: elsewhere the nearest multiple of 10^-digits is plain
+    arithmetic, and k / 10^digits is the double closest to that decimal.
+    Negative, tiny, huge and non-finite values take the long way as well.
+    """
+    unit = float(10**digits)
+    scaled = value * unit
+    nearest = F.rint(scaled)
+    clear = F.abs(scaled - nearest) < 0.5 - _NEAR_TIE
+    plain = (scaled >= 0.5) & (scaled < _SCALED_LIMIT) & clear
+    return F.when(plain, nearest / unit).otherwise(F.round(value, digits))
+
+
 def round_mean(value: Column, digits: int) -> Column:
     """Round an average half up, the same way for any partitioning.
 

@@ -3,7 +3,16 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from orefold.functions import band, flag, normalized, round_mean, safe_ratio, unmasked, weighted_blend
+from orefold.functions import (
+    band,
+    flag,
+    normalized,
+    round_mean,
+    round_value,
+    safe_ratio,
+    unmasked,
+    weighted_blend,
+)
 
 CUTS = ((8000, "economy"), (15000, "mid-range"), (25000, "premium"))
 
@@ -45,6 +54,26 @@ def test_flag_is_never_null(spark):
     assert values(spark, data, "v string", flag("v", "turbo")) == [True, False, False]
 
 
+@pytest.mark.parametrize("digits", [0, 1, 2])
+def test_round_value_equals_round(spark, digits):
+    n = F.col("id")
+    anywhere = (n * 0.618034 % 1) * F.pow(F.lit(10.0), n % 16 - 3)
+    ties = n * 0.005
+    quotients = (n + 1) / (n % 97 + 1)
+    special = F.element_at(
+        F.array(*[F.lit(v) for v in (0.0, -0.0, math.inf, -math.inf, math.nan, 1e300, 0.49999999, 1e7)]),
+        (n % 8 + 1).cast("int"),
+    )
+    df = spark.range(100_000)
+    for made in (anywhere, ties, quotients, special):
+        for value in (made, -made):
+            got = round_value(F.col("v"), digits)
+            plain = F.round("v", digits)
+            differs = ~got.eqNullSafe(plain) | ~got.cast("string").eqNullSafe(plain.cast("string"))
+            assert df.select(value.alias("v")).filter(differs).isEmpty()
+    assert spark.range(1).select(round_value(F.lit(None).cast("double"), digits)).first()[0] is None
+
+
 @pytest.mark.parametrize(
     "value, digits, wanted",
     [

@@ -20,6 +20,7 @@ from orefold.plans.car_market import (
 )
 from orefold.plans.gold import read_gold
 from orefold.plans.layers import Layers, TooManyRejects, run_layers
+from orefold.sinks import ensure_layer
 from orefold.sources import drop_bronze_audit
 
 from .conftest import rows
@@ -190,6 +191,19 @@ def test_second_run_from_the_bronze_tables_is_the_same(spark, raw, layers):
     assert {n: rows(bare(d)) for n, d in gold_of(spark, layers).items()} == before
 
 
+def test_build_in_place_from_loaded_tables(spark, raw, layers):
+    ensure_layer(spark, layers.bronze, layers.folder(layers.bronze))
+    for name, df in csv_sources(spark, *raw).items():
+        df.write.saveAsTable(f"{layers.bronze}.{name}")
+    loaded = {n: spark.table(f"{layers.bronze}.{n}") for n in (CARS.name, FUEL.name)}
+    report = run_layers(spark, CAR_MARKET, loaded, layers)
+    assert (report.bronze[CARS.name].rows, report.silver.rows) == (8, 6)
+    bronze = spark.table(f"{layers.bronze}.{CARS.name}")
+    assert bronze.select("_source_file", "_source_layer").distinct().collect() == [
+        ("automobiles.csv", "raw")
+    ]
+
+
 def test_settings_do_not_change_results(spark, raw, layers, conf):
     run_layers(spark, CAR_MARKET, csv_sources(spark, *raw), layers)
     before = {n: rows(bare(d)) for n, d in gold_of(spark, layers).items()}
