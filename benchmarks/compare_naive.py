@@ -19,7 +19,7 @@ from orefold.operators import summarize
 from orefold.plans.layers import Layers, read_raw_csv, run_layers
 from orefold.session import build_session
 from orefold.workload.lines import LINES, given, named_lines, raw_lines
-from orefold.workload.queries import _fresh_layer, _write_csv
+from orefold.workload.queries import fresh_layer, write_csv
 
 
 def sources(spark: SparkSession, lines: str, parts: str) -> dict[str, DataFrame]:
@@ -30,14 +30,14 @@ def sources(spark: SparkSession, lines: str, parts: str) -> dict[str, DataFrame]
 
 
 def ours(spark: SparkSession, lines: str, parts: str) -> dict[str, DataFrame]:
-    run, folder = _fresh_layer(spark)
+    run, folder = fresh_layer(spark)
     layers = Layers(f"{run}_b", f"{run}_s", f"{run}_g", location=folder)
     run_layers(spark, LINES, sources(spark, lines, parts), layers)
     return {t.name: spark.table(f"{layers.gold}.{t.name}") for t in LINES.gold}
 
 
 def naive(spark: SparkSession, lines: str, parts: str) -> dict[str, DataFrame]:
-    run, folder = _fresh_layer(spark)
+    run, folder = fresh_layer(spark)
     spark.sql(f"CREATE SCHEMA {run} LOCATION '{folder}'")
 
     def save(df: DataFrame, name: str) -> DataFrame:
@@ -111,8 +111,8 @@ def main() -> None:
             },
         )
         spark.sparkContext.setLogLevel("ERROR")
-        lines = _write_csv(named_lines(raw_lines(spark, sf_dir)), "lines")
-        parts = _write_csv(given(spark, sf_dir, "part"), "parts")
+        lines = write_csv(named_lines(raw_lines(spark, sf_dir)), "lines")
+        parts = write_csv(given(spark, sf_dir, "part"), "parts")
         results = {}
         for label, form in (("naive", naive), ("ours", ours)):
             form(spark, lines, parts)

@@ -28,7 +28,6 @@ from ..plans.layers import Layers, build_silver, read_raw_csv, run_layers
 from ..session import materialize, scratch_path
 from ..sinks import publish
 from ..sources import (
-    drop_bronze_audit,
     read_csv_declared,
     read_csv_strings,
     read_table,
@@ -64,7 +63,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- sources and sinks ------------------------------------------------------
 
 
-def _write_csv(df: DataFrame, label: str) -> str:
+def write_csv(df: DataFrame, label: str) -> str:
     """A raw CSV drop made from a given table, padding kept."""
     path = scratch_path(df.sparkSession, label)
     (
@@ -77,23 +76,23 @@ def _write_csv(df: DataFrame, label: str) -> str:
     return path
 
 
-def _fresh_layer(spark: SparkSession) -> tuple[str, str]:
+def fresh_layer(spark: SparkSession) -> tuple[str, str]:
     """A schema name and folder of their own for one run."""
     name = f"orefold_{uuid.uuid4().hex[:12]}"
     return name, scratch_path(spark, name)
 
 
 def csv_header_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_csv_strings(spark, _write_csv(given(spark, sf_dir, "orders"), "orders-csv"))
+    return read_csv_strings(spark, write_csv(given(spark, sf_dir, "orders"), "orders-csv"))
 
 
 def csv_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = given(spark, sf_dir, "customer")
-    return read_csv_declared(spark, _write_csv(customer, "customer-csv"), customer.columns)
+    return read_csv_declared(spark, write_csv(customer, "customer-csv"), customer.columns)
 
 
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layer, folder = _fresh_layer(spark)
+    layer, folder = fresh_layer(spark)
     part = given(spark, sf_dir, "part")
     publish(part, layer, "part", location=folder)
     wider = part.withColumn("p_large", F.col("p_size") > 25)
@@ -112,7 +111,7 @@ def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rewrite_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layer, folder = _fresh_layer(spark)
+    layer, folder = fresh_layer(spark)
     spark.sql(f"CREATE SCHEMA {layer} LOCATION '{folder}'")
     name = f"{layer}.customer"
     given(spark, sf_dir, "customer").write.saveAsTable(name)
@@ -176,7 +175,7 @@ def dedupe_line_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layer, folder = _fresh_layer(spark)
+    layer, folder = fresh_layer(spark)
     published = publish(given(spark, sf_dir, "lineitem"), layer, "lineitem", location=folder)
     return spark.range(1).select(F.lit(published.rows).cast("bigint").alias("rows_written"))
 
@@ -343,13 +342,13 @@ def sample_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layered_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw CSV to published gold; returns the published band analysis."""
-    lines = _write_csv(named_lines(raw_lines(spark, sf_dir)), "lines-csv")
-    parts = _write_csv(given(spark, sf_dir, "part"), "parts-csv")
+    lines = write_csv(named_lines(raw_lines(spark, sf_dir)), "lines-csv")
+    parts = write_csv(given(spark, sf_dir, "part"), "parts-csv")
     sources = {
         LINES.facts.name: read_raw_csv(spark, LINES.facts, lines),
         LINES.dimension.name: read_raw_csv(spark, LINES.dimension, parts),
     }
-    run, folder = _fresh_layer(spark)
+    run, folder = fresh_layer(spark)
     layers = Layers(f"{run}_bronze", f"{run}_silver", f"{run}_gold", location=folder)
     run_layers(spark, LINES, sources, layers)
     return read_gold(spark, layers.gold, GOLD_BY_SEGMENT).drop("_gold_timestamp")
