@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 
+from orefold.workload.queries import QUERIES
+
 from .conftest import plan_of
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,7 +19,7 @@ def plan(spark, name):
     return plan_of(contract.queries()[name](spark, SF_DIR))
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WRITES_FIRST))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES_FIRST))
 def test_no_python_no_cross_join_no_single_task(spark, name):
     text = plan(spark, name)
     for word in ("BatchEvalPython", "ArrowEvalPython", "Cartesian", "BroadcastNestedLoop"):
