@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .mixing import mix_sources
+from .quality import BASE_COLUMNS, quality_rules
 from .words import word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *BASE_COLUMNS, "base_failed", "kept", "stratum", "badness", "cutoff")
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"), size=word_count(F.col("text")))
     return mixed.select(
@@ -25,5 +31,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_rules": op1_quality_rules,
     "op10_mix_sources": op10_mix_sources,
 }
