@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .mixing import mix_sources
+from .near_dup import near_duplicates
 from .quality import BASE_COLUMNS, quality_rules
 from .words import word_count
 
@@ -23,6 +24,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *BASE_COLUMNS, "base_failed", "kept", "stratum", "badness", "cutoff")
 
 
+def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"), size=word_count(F.col("text")))
     return mixed.select(
@@ -32,5 +37,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_superminhash": op2_superminhash,
     "op10_mix_sources": op10_mix_sources,
 }
