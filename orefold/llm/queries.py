@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .mixing import mix_sources
 from .near_dup import near_duplicates
 from .quality import BASE_COLUMNS, quality_rules
+from .token_files import token_files
 from .words import word_count
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -28,6 +32,10 @@ def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(spark, table(spark, sf_dir, "documents"), tokenizer=TOKENIZER, end_id=1)
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"), size=word_count(F.col("text")))
     return mixed.select(
@@ -38,5 +46,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_superminhash": op2_superminhash,
+    "op4_token_files": op4_token_files,
     "op10_mix_sources": op10_mix_sources,
 }
