@@ -67,6 +67,7 @@ def mix_sources(
     share: float = 1.0,
     max_repeats: int = 3,
     seed: str = "mix",
+    whole_rows: bool = False,
 ) -> DataFrame:
     """`key`, source, size, source_size, target and copies of every document.
 
@@ -82,14 +83,17 @@ def mix_sources(
     Null sources form one source, null sizes count 0, rows with equal keys
     share a hash and are taken together, an empty table stays empty, a source
     without words takes nothing, and columns not named here are not looked at.
-    Reruns agree, as the hash is a function of the key.
+    Reruns agree, as the hash is a function of the key. With `whole_rows` the
+    result is each given row as the struct `row` with its copies, from a second
+    scan instead of a join.
     """
+    hashed = mix_hash(*[F.col(c) for c in key], seed=seed).alias("_hash")
     base = materialize(
         docs.select(
             *[F.col(c) for c in key],
             F.col(source).alias("source"),
             F.coalesce(size, F.lit(0)).cast("long").alias("size"),
-            mix_hash(*[F.col(c) for c in key], seed=seed).alias("_hash"),
+            hashed,
         ),
         "mixing",
     )
@@ -106,9 +110,13 @@ def mix_sources(
         F.col("source").alias("_name"), "source_size", "target", "_whole", "_last"
     )
     one_more = (F.col("_hash") <= F.coalesce("_last", F.lit(-1))).cast("long")
-    return base.join(budget, F.col("source").eqNullSafe(F.col("_name")), "left").select(
-        *key, "source", "size", "source_size", "target", (F.col("_whole") + one_more).alias("copies")
-    )
+    copies = (F.col("_whole") + one_more).alias("copies")
+    if whole_rows:
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+        base, shown = docs.select(row, F.col(source).alias("source"), hashed), ["row"]
+    else:
+        shown = [*key, "source", "size", "source_size", "target"]
+    return base.join(budget, F.col("source").eqNullSafe(F.col("_name")), "left").select(*shown, copies)
 
 
 def _thresholds(base: DataFrame, targets: DataFrame) -> DataFrame:

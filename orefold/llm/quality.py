@@ -67,7 +67,9 @@ def duplicate_lines(text: Column) -> Column:
     return bind(with_word, lambda a: F.size(a) - F.size(F.array_distinct(a)))
 
 
-def measures(docs: DataFrame, *, key: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
+def measures(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", stratum: str = "lang", whole_rows: bool = False
+) -> DataFrame:
     """doc_id, stratum, the base counts, base_failed and one score per rule.
 
     Everything is a column expression over one row, so a row never leaves its
@@ -82,7 +84,9 @@ def measures(docs: DataFrame, *, key: str = "doc_id", text: str = "text", stratu
             repeat_words(w).alias("n_repeat_words"),
         ),
     )
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []
     base = docs.select(
+        *row,
         F.col(key).alias("doc_id"),
         F.col(stratum).alias("stratum"),
         F.xxhash64(whole).alias("text_hash"),
@@ -99,6 +103,7 @@ def measures(docs: DataFrame, *, key: str = "doc_id", text: str = "text", stratu
         return F.least(share, F.lit(_SCORE_TOP)).cast("int")
 
     return base.select(
+        *(["row"] if whole_rows else []),
         "doc_id",
         "stratum",
         "text_hash",
@@ -237,6 +242,7 @@ def quality_rules(
     max_false_rejection: float = 0.05,
     risk: float = 0.05,
     cost: float = 5.0,
+    whole_rows: bool = False,
 ) -> DataFrame:
     """doc_id, stratum, base counts, base_failed, scores, badness, cutoff, kept.
 
@@ -245,9 +251,11 @@ def quality_rules(
     the base rules; null strata are one stratum; repeated labels of a document
     count once, as bad if one says so; labels without document and documents
     without label are fine; without labels only the base rules reject; repeated
-    rows get equal verdicts; other columns are not looked at.
+    rows get equal verdicts; other columns are not looked at. With `whole_rows`
+    the result also holds each given row as the struct `row`, so that a filter
+    needs no join.
     """
-    scored = materialize(measures(docs, key=key, text=text, stratum=stratum), "quality")
+    scored = materialize(measures(docs, key=key, text=text, stratum=stratum, whole_rows=whole_rows), "quality")
     references, cutoffs = thresholds(
         scored,
         labels.select("doc_id", "quality"),

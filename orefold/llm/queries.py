@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import benchmark_leaks
 from .mixing import mix_sources
 from .near_dup import near_duplicates
 from .quality import BASE_COLUMNS, quality_rules
@@ -36,6 +37,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, table(spark, sf_dir, "documents"), tokenizer=TOKENIZER, end_id=1)
 
 
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"), size=word_count(F.col("text")))
     return mixed.select(
@@ -47,5 +52,6 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_superminhash": op2_superminhash,
     "op4_token_files": op4_token_files,
+    "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_mix_sources": op10_mix_sources,
 }
