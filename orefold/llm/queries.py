@@ -12,6 +12,7 @@ from .decontaminate import benchmark_leaks
 from .mixing import mix_sources
 from .near_dup import near_duplicates
 from .quality import BASE_COLUMNS, quality_rules
+from .repeats import repeated_bytes
 from .token_files import token_files
 from .words import word_count
 
@@ -37,6 +38,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, table(spark, sf_dir, "documents"), tokenizer=TOKENIZER, end_id=1)
 
 
+def op8_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -52,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_superminhash": op2_superminhash,
     "op4_token_files": op4_token_files,
+    "op8_repeated_bytes": op8_repeated_bytes,
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_mix_sources": op10_mix_sources,
 }
