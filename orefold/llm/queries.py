@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .decontaminate import benchmark_leaks
 from .mixing import mix_sources
 from .near_dup import near_duplicates
+from .pii import BASE_KINDS, personal_data, written
 from .quality import BASE_COLUMNS, quality_rules
 from .repeats import repeated_bytes
 from .token_files import token_files
@@ -38,6 +39,15 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, table(spark, sf_dir, "documents"), tokenizer=TOKENIZER, end_id=1)
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *[f"n_{kind}" for kind in BASE_KINDS],
+        F.sha2(written(F.col("base")), 256).alias("base_sha256"),
+        written(F.col("found")).alias("spans"),
+    )
+
+
 def op8_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents")).drop("removed")
 
@@ -57,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_superminhash": op2_superminhash,
     "op4_token_files": op4_token_files,
+    "op7_personal_data": op7_personal_data,
     "op8_repeated_bytes": op8_repeated_bytes,
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_mix_sources": op10_mix_sources,
