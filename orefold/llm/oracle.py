@@ -38,6 +38,30 @@ FROM (
 JOIN t ON d.source IS NOT DISTINCT FROM t.source
 """
 
+OP3 = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '<\|') AS body,
+         row_number() OVER (PARTITION BY conv_id
+           ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), replace(coalesce(text, ''), '<|', '<\|')) - 1 AS i
+  FROM conversations),
+p AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+r AS (
+  SELECT t.conv_id, p.speaker, t.i // 64 AS part, t.i, t.role = p.speaker AS mine,
+         CASE WHEN t.role = p.speaker THEN '<|assistant|>' || chr(10)
+              WHEN t.role = 'system' THEN '<|system|>' || chr(10)
+              ELSE '<|user name=' || t.role || '|>' || chr(10) END AS head,
+         t.body || '<|end|>' || chr(10) AS tail
+  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+m AS (
+  SELECT *, sum(length(head) + length(tail)) OVER (PARTITION BY conv_id, speaker, part ORDER BY i)
+            - length(tail) AS start FROM r)
+SELECT conv_id, speaker, part, count(*) AS n_turns, count(*) FILTER (WHERE mine) AS n_trained,
+       string_agg(head || tail, '' ORDER BY i) AS text,
+       coalesce(string_agg(start || ':' || (start + length(tail)), ',' ORDER BY i) FILTER (WHERE mine), '') AS mask
+FROM m GROUP BY conv_id, speaker, part
+"""
+
 ORACLE: dict[str, str] = {
+    "op3_perspectives": OP3,
     "op10_mix_sources": OP10,
 }

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import perspectives
 from .decontaminate import benchmark_leaks
+from .line_runs import repeated_line_runs
 from .mixing import mix_sources
 from .near_dup import near_duplicates
 from .pii import BASE_KINDS, personal_data, written
@@ -39,6 +41,15 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, table(spark, sf_dir, "documents"), tokenizer=TOKENIZER, end_id=1)
 
 
+def op3_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"], m["end"]))
+    return perspectives(table(spark, sf_dir, "conversations")).withColumn("mask", F.array_join(spans, ","))
+
+
+def op5_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_line_runs(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -66,7 +77,9 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_superminhash": op2_superminhash,
+    "op3_perspectives": op3_perspectives,
     "op4_token_files": op4_token_files,
+    "op5_line_runs": op5_line_runs,
     "op7_personal_data": op7_personal_data,
     "op8_repeated_bytes": op8_repeated_bytes,
     "op9_benchmark_leaks": op9_benchmark_leaks,
