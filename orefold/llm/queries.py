@@ -14,6 +14,7 @@ from .line_runs import repeated_line_runs
 from .mixing import mix_sources
 from .near_dup import near_duplicates
 from .pii import BASE_KINDS, personal_data, written
+from .pseudo_lm import pseudo_likelihood
 from .quality import BASE_COLUMNS, quality_rules
 from .repeats import repeated_bytes
 from .token_files import token_files
@@ -50,6 +51,10 @@ def op5_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_line_runs(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op3_perspectives": op3_perspectives,
     "op4_token_files": op4_token_files,
     "op5_line_runs": op5_line_runs,
+    "op6_pseudo_likelihood": op6_pseudo_likelihood,
     "op7_personal_data": op7_personal_data,
     "op8_repeated_bytes": op8_repeated_bytes,
     "op9_benchmark_leaks": op9_benchmark_leaks,
