@@ -34,7 +34,7 @@ _MASK = 0xA282EAD8
 _NULL_ID = -(2**63)
 _ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("n_tokens", "<u8"), ("before", "<u8")])
 # Words whose ids a task remembers.
-_REMEMBERED = 1_000_000
+_REMEMBERED = 200_000
 _PIECE = 1 << 20
 
 Encode = Callable[[list[str]], list[list[int]]]
