@@ -65,7 +65,9 @@ def matches(text: Column, pattern: str, holds: Column) -> Column:
     all_found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     located = bind(
         all_found,
-        lambda found: F.when(F.size(found) > 0, placed(F.split(text, pattern, -1), found)).otherwise(none),
+        lambda found: F.when(
+            F.size(found) > 0, bind(F.split(text, pattern, -1), lambda gaps: placed(gaps, found))
+        ).otherwise(none),
     )
     return F.when(holds, located).otherwise(none)
 
