@@ -16,6 +16,8 @@ stay useful. With the index a reader can fetch frames in any order.
 
 from __future__ import annotations
 
+import json
+import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -33,11 +35,15 @@ from .words import text_buffers
 _MASK = 0xA282EAD8
 _NULL_ID = -(2**63)
 _ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("n_tokens", "<u8"), ("before", "<u8")])
-# Words whose ids a task remembers.
+# Words after which the memory of words begins a new generation.
 _REMEMBERED = 200_000
 _PIECE = 1 << 20
 
-Encode = Callable[[list[str]], list[list[int]]]
+_BETWEEN = "\x01"
+_TOGETHER = 5_000
+_encoders: dict[str, tuple] = {}
+
+Encode = Callable[[list[str]], dict[str, np.ndarray]]
 
 
 def masked_crc(data: bytes) -> int:
@@ -72,19 +78,82 @@ def open_folder(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 def json_tokenizer(path: str) -> tuple[Encode, int]:
-    """Encoder of word lists and vocabulary size of a tokenizers JSON file."""
+    """Encoder of word lists and vocabulary size of a tokenizers JSON file.
+
+    Calls cost more than words, so many words are encoded as one text. A word of
+    letters alone ends with the one of its ids that marks a word's end; if that
+    does not cut the ids into as many pieces as words, and for other words, a
+    control character with an id of its own stands between them. Words that hold
+    that character go one by one.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    mark = ids_of(tokenizer, _BETWEEN)
+    suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix") or ""
+    last = np.zeros(tokenizer.get_vocab_size(), bool)
+    if suffix:
+        last[[i for t, i in tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+
+    def by_ends(words: list[str]) -> list[np.ndarray] | None:
+        ids = ids_of(tokenizer, " ".join(words))
+        cuts = np.flatnonzero(last[ids]) + 1
+        if len(cuts) != len(words) or (len(cuts) and cuts[-1] != len(ids)):
+            return None
+        return [ids[x:y] for x, y in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+
+    def by_marks(words: list[str]) -> list[np.ndarray]:
+        if len(mark) != 1:
+            return [ids_of(tokenizer, w) for w in words]
+        ids = ids_of(tokenizer, f" {_BETWEEN} ".join("" if _BETWEEN in w else w for w in words))
+        cuts = np.flatnonzero(ids == mark[0]).tolist()
+        pieces = [ids[x + 1 : y] for x, y in zip([-1, *cuts], [*cuts, len(ids)])]
+        return [ids_of(tokenizer, w) if _BETWEEN in w else p for w, p in zip(words, pieces)]
+
+    def encode(words: list[str]) -> dict[str, np.ndarray]:
+        found: dict[str, np.ndarray] = {}
+        letters = [w for w in words if w.isalpha()]
+        others = [w for w in words if not w.isalpha()]
+        for a in range(0, len(letters), _TOGETHER):
+            part = letters[a : a + _TOGETHER]
+            found.update(zip(part, by_ends(part) or by_marks(part)))
+        for a in range(0, len(others), _TOGETHER):
+            part = others[a : a + _TOGETHER]
+            found.update(zip(part, by_marks(part)))
+        return found
 
     return encode, tokenizer.get_vocab_size()
 
 
+def ids_of(tokenizer, text: str) -> np.ndarray:
+    return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+
+class Memory(dict):
+    """Ids of words by their bytes; words not met for a while are forgotten."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict[bytes, bytes] = {}
+
+    def learn(self, words: set[bytes], encode: Encode, dtype: np.dtype) -> None:
+        if len(self) > _REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        new = []
+        for word in words.difference(self):
+            ids = self.older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                self[word] = ids
+        for word, ids in encode([w.decode() for w in new]).items():
+            self[word.encode()] = ids.astype(dtype).tobytes()
+
+
 def encoded(
-    texts: Iterator[bytes], encode: Encode, dtype: np.dtype, end_id: int, known: dict[bytes, bytes]
+    texts: Iterator[bytes], encode: Encode, dtype: np.dtype, end_id: int, known: Memory
 ) -> Iterator[bytes]:
     """Ids of each text and `end_id`, as bytes.
 
@@ -97,15 +166,10 @@ def encoded(
     size = 0
 
     def flush() -> Iterator[bytes]:
-        new = list(set().union(*held).difference(known))
-        if new:
-            for word, ids in zip(new, encode([w.decode() for w in new])):
-                known[word] = np.array(ids, dtype).tobytes()
+        known.learn(set().union(*held), encode, dtype)
         for parts in held:
             yield b"".join(map(known.__getitem__, parts)) + end
         held.clear()
-        if len(known) > _REMEMBERED:
-            known.clear()
 
     for text in texts:
         held.append(text.split())
@@ -118,14 +182,16 @@ def encoded(
 
 def _writing(folder: str, tokenizer: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, vocabulary = json_tokenizer(tokenizer)
+        # A Python worker serves many tasks: the tokenizer and the words stay with it.
+        if tokenizer not in _encoders:
+            _encoders[tokenizer] = (*json_tokenizer(tokenizer), Memory())
+        encode, vocabulary, known = _encoders[tokenizer]
         dtype = np.dtype("<u2" if max(vocabulary, end_id + 1) <= 65536 else "<u4")
         task = TaskContext.get()
         shard = task.partitionId()
         system, base = open_folder(folder)
         place = f"{base}/{shard:06d}"
         own = f"{place}.attempt-{task.taskAttemptId()}"
-        known: dict[bytes, bytes] = {}
         entries: list[tuple[int, int, int, int]] = []
         offset = total = 0
         system.create_dir(base, recursive=True)
