@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .words import _INVERSE, _BASE, _VALUES, chunks, mix, text_buffers
+from .words import _INVERSE, chunks, mix, powers, prefix_hashes, span_hashes, text_buffers
 
 _LOW = np.uint64(0xFFFFFFFF)
 # Occurrences in a chunk from which on a seed counts as frequent there.
@@ -32,15 +32,7 @@ class Windows:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, length: int, seed: int):
         n = len(data)
         self.offsets, self.length = offsets, length
-        powers = np.full(n + 1, _BASE)
-        powers[:1] = 1
-        np.multiply.accumulate(powers, out=powers)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_VALUES[False][data] * powers[:n], out=self.sums[1:])
-        powers[:] = _INVERSE
-        powers[:1] = 1
-        np.multiply.accumulate(powers, out=powers)
-        self.inverse = powers
+        self.sums = prefix_hashes(data)
         sizes = np.diff(offsets)
         ends = np.repeat(offsets[1:], sizes) if n else np.zeros(0, np.int64)
         #: starts of the strings that lie inside one text
@@ -48,7 +40,9 @@ class Windows:
         if not len(self.starts):
             self.sampled = np.zeros(0, np.int64)
             return
-        seeds = mix((self.sums[seed:] - self.sums[: n + 1 - seed]) * self.inverse[: n + 1 - seed])
+        seeds = self.sums[seed:] - self.sums[: n + 1 - seed]
+        seeds *= powers(_INVERSE, len(seeds))
+        seeds = mix(seeds)
         ranked = (seeds & ~_LOW) | np.arange(len(seeds), dtype=np.uint64)
         lowest = sliding_minimum(ranked, length - seed + 1)
         #: sampled position of each string
@@ -56,7 +50,7 @@ class Windows:
         self.seeds = seeds
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64))
+        return span_hashes(self.sums, start, end)
 
     def samples(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sampled positions with the first and last string that each belongs to."""
@@ -216,7 +210,7 @@ def _deciding(length: int):
         for group in _groups(batches, "seed"):
             held += group.to_batches()
             size += group.nbytes
-            if size > 1 << 22:
+            if size > 1 << 20:
                 yield from _later_runs(pa.Table.from_batches(held), length)
                 held, size = [], 0
         if held:

@@ -84,7 +84,7 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), offsets
 
 
-def chunks(offsets: np.ndarray, most: int = 1 << 22):
+def chunks(offsets: np.ndarray, most: int = 1 << 20):
     """Ranges of texts of about `most` bytes together; a longer text is alone."""
     first, n = 0, len(offsets) - 1
     while first < n:
@@ -94,6 +94,36 @@ def chunks(offsets: np.ndarray, most: int = 1 << 22):
         first = last
 
 
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """base ** 0, 1, ..., n - 1 modulo 2**64; kept for the next call."""
+    known = _powers.get(int(base))
+    if known is None or len(known) < n:
+        known = np.full(max(n, 1 << 20), base)
+        known[0] = 1
+        np.multiply.accumulate(known, out=known)
+        if n <= 1 << 22:  # those for a very long text are not worth their memory
+            _powers[int(base)] = known
+    return known[:n]
+
+
+def prefix_hashes(data: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Sums of byte values times powers; their differences identify strings."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    values = _VALUES[lower][data]
+    values *= powers(_BASE, len(data))
+    np.cumsum(values, out=sums[1:])
+    return sums
+
+
+def span_hashes(sums: np.ndarray, start, end) -> np.ndarray:
+    """Hashes of the strings data[start:end], the same wherever they stand."""
+    raw = (sums[end] - sums[start]) * powers(_INVERSE, len(sums))[start]
+    return mix(raw + np.asarray(end - start).astype(np.uint64))
+
+
 class Tokens:
     """Spans of bytes with their texts: `text[i]` owns bytes `start[i]:end[i]`."""
 
@@ -109,18 +139,7 @@ class Tokens:
         A polynomial over random byte values from prefix sums: every pass is
         vectorised over all bytes.
         """
-        values = _VALUES[lower][self.data]
-        powers = np.full(len(values), _BASE)
-        powers[:1] = 1
-        np.multiply.accumulate(powers, out=powers)
-        values *= powers
-        sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values, out=sums[1:])
-        inverse = np.full(len(values) + 1, _INVERSE)
-        inverse[:1] = 1
-        np.multiply.accumulate(inverse, out=inverse)
-        raw = (sums[self.end] - sums[self.start]) * inverse[self.start]
-        return mix(raw + (self.end - self.start).astype(np.uint64))
+        return span_hashes(prefix_hashes(self.data, lower), self.start, self.end)
 
 
 def words(data: np.ndarray, offsets: np.ndarray, first: int, last: int) -> Tokens:
