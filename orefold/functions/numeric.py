@@ -12,6 +12,7 @@ _ALL_INTEGRAL = float(2**52)
 # Scaled values below this carry less than a tenth of _NEAR_TIE of binary error.
 _SCALED_LIMIT = 1e9
 _NEAR_TIE = 1e-6
+_MOST_DIGITS = 6
 
 
 def round_value(value: Column, digits: int) -> Column:
@@ -35,8 +36,11 @@ def round_mean(value: Column, digits: int) -> Column:
 
     A distributed sum of doubles depends on the order of its terms in the last
     bits, and so does the side of a tie such as 20.15 on which it lands.
-    Settling the value at eight decimals first removes that drift. Values that
-    are integral anyway, infinities and NaN pass through.
+    Settling the value at eight decimals first removes that drift, at the price
+    that a value less than half a unit of the eighth decimal below a tie counts
+    as the tie. Values that are integral anyway, infinities and NaN pass through.
     """
+    if digits > _MOST_DIGITS:
+        raise ValueError(f"means are settled at 8 decimals; {digits} digits are too many")
     settled = F.round(value.cast("decimal(38,8)"), digits).cast("double")
     return F.when(F.abs(value) < _ALL_INTEGRAL, settled).otherwise(value)

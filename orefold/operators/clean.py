@@ -28,12 +28,23 @@ def cast_columns(
 ) -> DataFrame:
     """Cast columns to the given types.
 
-    Strict casts raise on malformed text (ANSI mode, the Spark 4 default).
+    Strict casts raise on malformed text, whatever the session's ANSI setting.
     Lenient ones give null; `reject_counters` tells how often.
     """
+
+    have = dict(df.dtypes)
+
+    def strict(name: str, kind: str) -> Column:
+        if have[name] == kind:  # nothing can fail, and filters still reach the scan
+            return F.col(name)
+        tried = F.col(name).try_cast(kind)
+        complaint = F.concat(F.lit(f"CAST_INVALID_INPUT: column {name} holds no {kind}: "), F.col(name).cast("string"))
+        malformed = F.col(name).isNotNull() & tried.isNull()
+        return F.when(malformed, F.raise_error(complaint).cast(kind)).otherwise(tried)
+
     return df.withColumns(
         {
-            name: F.col(name).try_cast(kind) if lenient else F.col(name).cast(kind)
+            name: F.col(name).try_cast(kind) if lenient else strict(name, kind)
             for name, kind in types.items()
         }
     )

@@ -9,52 +9,42 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# Distinct rounded scores one histogram bucket can hold.
-_SCORES_PER_BUCKET = 10_000
-
-
-def global_rank(
-    df: DataFrame, score: str, name: str, digits: int, kind: str = "int"
-) -> DataFrame:
+def global_rank(df: DataFrame, score: str, name: str, kind: str = "int") -> DataFrame:
     """Add the rank by descending `score` over all rows; ties share a rank.
 
     Same values as `rank()` over an unpartitioned window, without moving every
     row to one task: the rank of a score is one more than the number of rows
-    with a higher score, which a histogram of the scores answers. `score` is
-    rounded to `digits`, so a bucket of the histogram holds a bounded number of
-    scores and only bucket totals are summed in a single task. Nulls come last.
+    with a higher score. Rows are counted per score, the scores sorted by range
+    into partitions, and counts summed up inside each partition; one row per
+    partition says how many rows the partitions before it hold. Nulls come last.
 
     `df` is read twice; hand in a stored table, not a long computation. The
     ranks, one row per score, are stored as well: with their size known the
     planner broadcasts them if they are small, and `df` is not shuffled at all.
     """
-    width = float(_SCORES_PER_BUCKET) / 10**digits
-    histogram = (
+    descending = F.desc_nulls_last("_score")
+    ranges = materialize(
         df.groupBy(F.col(score).alias("_score"))
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_bucket", F.round(F.col("_score") / width, 0))
+        .repartitionByRange(descending)
+        .withColumn("_range", F.spark_partition_id()),
+        f"{name}-ranges",
     )
     before = (Window.unboundedPreceding, -1)
-    buckets = (
-        histogram.groupBy("_bucket")
+    totals = (
+        ranges.groupBy("_range")
         .agg(F.sum("_rows").alias("_total"))
         .select(
-            F.col("_bucket").alias("_of"),
-            F.sum("_total")
-            .over(Window.orderBy(F.desc_nulls_last("_bucket")).rowsBetween(*before))
-            .alias("_above"),
+            F.col("_range").alias("_of"),
+            F.sum("_total").over(Window.orderBy("_range").rowsBetween(*before)).alias("_above"),
         )
     )
-    inside = histogram.withColumn(
+    inside = ranges.withColumn(
         "_higher",
-        F.sum("_rows").over(
-            Window.partitionBy("_bucket")
-            .orderBy(F.desc_nulls_last("_score"))
-            .rowsBetween(*before)
-        ),
+        F.sum("_rows").over(Window.partitionBy("_range").orderBy(descending).rowsBetween(*before)),
     )
     ahead = F.coalesce("_above", F.lit(0)) + F.coalesce("_higher", F.lit(0))
-    ranks = inside.join(buckets, F.col("_bucket").eqNullSafe(F.col("_of"))).select(
+    ranks = inside.join(totals, F.col("_range") == F.col("_of")).select(
         "_score", (ahead + 1).cast(kind).alias(name)
     )
     stored = materialize(ranks, name)

@@ -106,7 +106,7 @@ FUEL_RANKING = GoldTable(
         Measure("avg_fuel_cost_usd", "mean", "fe_fuel_cost_annual_usd", 0),
         Measure("num_models", "rows"),
     ),
-    rank=RankBy("avg_combined_mpg", "efficiency_rank", 1),
+    rank=RankBy("avg_combined_mpg", "efficiency_rank"),
     order=lambda: F.asc("efficiency_rank"),
 )
 PRICE_SEGMENTS = GoldTable(
@@ -149,11 +149,17 @@ CAR_MARKET = Build(
 
 
 def csv_sources(spark: SparkSession, cars: str, fuel: str) -> dict[str, DataFrame]:
-    """Raw frames for `run_layers` from the two CSV paths."""
-    return {
-        CARS.name: read_raw_csv(spark, CARS, cars),
-        FUEL.name: read_raw_csv(spark, FUEL, fuel),
-    }
+    """Raw frames for `run_layers` from the two CSV paths.
+
+    The rows of a folder or pattern carry the path of their file.
+    """
+
+    def source(raw: RawTable, path: str) -> DataFrame:
+        scan = read_raw_csv(spark, raw, path)
+        one_file = path.lower().endswith(".csv") and "*" not in path
+        return scan if one_file else scan.withColumn("_source_file", F.col("_metadata.file_path"))
+
+    return {CARS.name: source(CARS, cars), FUEL.name: source(FUEL, fuel)}
 
 
 def dashboard(gold: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

@@ -16,7 +16,6 @@ from ..sources import read_table
 class RankBy:
     score: str
     name: str
-    digits: int
 
 
 @dataclass(frozen=True)
@@ -38,7 +37,7 @@ def build_gold(silver: DataFrame, table: GoldTable) -> DataFrame:
         return groups
     # Ranking reads the groups twice; stored, the facts are scanned only once.
     stored = materialize(groups, table.name)
-    return global_rank(stored, table.rank.score, table.rank.name, table.rank.digits)
+    return global_rank(stored, table.rank.score, table.rank.name)
 
 
 def read_gold(spark: SparkSession, layer: str, table: GoldTable) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from ..operators import (
@@ -18,7 +19,7 @@ from ..operators import (
     reject_counters,
     sentinel_to_null,
 )
-from ..sinks import Published, ensure_layer, publish
+from ..sinks import Published, ensure_layer, publish, publish_all
 from ..sources import (
     drop_bronze_audit,
     read_csv_declared,
@@ -108,12 +109,12 @@ def clean(df: DataFrame, raw: RawTable, sentinel: str, lenient: bool = False) ->
     )
 
 
-def clean_dimension(df: DataFrame, build: Build) -> DataFrame:
+def clean_dimension(df: DataFrame, build: Build, lenient: bool = False) -> DataFrame:
     """The dimension rows that facts join to."""
     rename = dict(build.snapshot_rename)
     if build.dimension_key:
         rename[build.dimension_key] = build.key
-    typed = clean(df, build.dimension, build.sentinel)
+    typed = clean(df, build.dimension, build.sentinel, lenient)
     return dimension_snapshot(typed, build.snapshot(), rename, build.snapshot_drop)
 
 
@@ -124,6 +125,7 @@ def build_silver(
     *,
     lenient: bool = False,
     salt_buckets: int = 0,
+    hot_limit: int = 100,
 ) -> DataFrame:
     """Clean, de-duplicate, derive and enrich; one lazy plan over Bronze."""
     return (
@@ -133,9 +135,10 @@ def build_silver(
         .transform(with_silver_audit)
         .transform(
             enrich_left,
-            clean_dimension(dimension, build),
+            clean_dimension(dimension, build, lenient),
             build.key,
             salt_buckets=salt_buckets,
+            hot_limit=hot_limit,
         )
     )
 
@@ -148,13 +151,15 @@ def run_layers(
     *,
     max_rejects: int | None = None,
     salt_buckets: int = 0,
+    hot_limit: int = 100,
 ) -> Report:
     """Publish Bronze, Silver and Gold; each layer reads the stored one before.
 
     `sources` maps the two Bronze names to raw frames: CSV scans or tables,
     also the Bronze tables themselves. Casts are strict unless `max_rejects`
-    is given; then up to that many malformed fact values become null, and with
-    more Silver is left as it was.
+    is given; then up to that many malformed values of facts and dimension
+    become null, and with more Silver is left as it was. The gold tables are
+    replaced together: if one cannot be written, all stay as they were.
     """
     report = Report()
     for layer in (layers.bronze, layers.silver, layers.gold):
@@ -171,41 +176,46 @@ def run_layers(
         )
 
     def put_bronze(raw: RawTable) -> Published:
-        audited = with_bronze_audit(sources[raw.name], raw.source_file)
+        source = sources[raw.name]
+        known = "_source_file" in source.columns
+        audited = with_bronze_audit(source, None if known else raw.source_file)
         return put(audited, layers.bronze, raw.name)
 
-    report.bronze = _side_by_side(put_bronze, (build.facts, build.dimension))
+    report.bronze = _side_by_side(put_bronze, (build.facts, build.dimension), spark)
 
     facts = read_table(spark, f"{layers.bronze}.{build.facts.name}")
     dimension = read_table(spark, f"{layers.bronze}.{build.dimension.name}")
     lenient = max_rejects is not None
     gate = None
     if lenient:
-        facts, gate = _gated(facts, build, max_rejects)
+        facts, gate = _gated(facts, dimension, build, max_rejects)
     silver = build_silver(
-        facts, dimension, build, lenient=lenient, salt_buckets=salt_buckets
+        facts, dimension, build, lenient=lenient, salt_buckets=salt_buckets, hot_limit=hot_limit
     )
     report.silver = put(silver, layers.silver, build.silver, gate)
 
     stored = read_table(spark, f"{layers.silver}.{build.silver}")
 
-    def put_gold(table: GoldTable) -> Published:
-        return put(with_gold_audit(build_gold(stored, table)), layers.gold, table.name)
-
-    report.gold = _side_by_side(put_gold, build.gold)
+    gold = _side_by_side(lambda table: with_gold_audit(build_gold(stored, table)), build.gold, spark)
+    report.gold = publish_all(gold, layers.gold, location=layers.folder(layers.gold), fmt=layers.fmt)
     return report
 
 
-def _side_by_side(put: Callable, tables: Sequence) -> dict[str, Published]:
-    """Publish independent tables at once, so one job's last tasks leave no slot idle."""
+def _side_by_side(put: Callable, tables: Sequence, spark: SparkSession) -> dict:
+    """Build independent tables at once, so one job's last tasks leave no slot idle."""
+    carried = inheritable_thread_target(spark)(put)  # job group and tags go along
     with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
-        return dict(zip((t.name for t in tables), pool.map(put, tables)))
+        return dict(zip((t.name for t in tables), pool.map(carried, tables)))
 
 
 def _gated(
-    facts: DataFrame, build: Build, max_rejects: int
+    facts: DataFrame, dimension: DataFrame, build: Build, max_rejects: int
 ) -> tuple[DataFrame, Callable[[], None]]:
-    """Facts whose malformed values are counted by the job that writes them."""
+    """Facts whose malformed values are counted by the job that writes them.
+
+    The dimension's are counted by a job of their own.
+    """
+    parts = sentinel_to_null(drop_bronze_audit(dimension), build.dimension.masked, build.sentinel)
     unmasked = sentinel_to_null(
         drop_bronze_audit(facts), build.facts.masked, build.sentinel
     )
@@ -215,9 +225,11 @@ def _gated(
     def gate() -> None:
         # A map task run again after a lost executor counts twice, so the
         # observed number is never too low; only a high one needs a recount.
-        if sum(seen.get.values()) <= max_rejects:
+        rejected = count_rejects(parts, build.dimension.types).first().asDict() if build.dimension.types else {}
+        if sum(seen.get.values()) + sum(rejected.values()) <= max_rejects:
             return
         exact = count_rejects(unmasked, build.facts.types).first().asDict()
+        exact.update({f"{build.dimension.name}.{name}": n for name, n in rejected.items()})
         if sum(exact.values()) > max_rejects:
             found = {name: n for name, n in exact.items() if n}
             raise TooManyRejects(f"malformed values by column: {found}")

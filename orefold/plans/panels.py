@@ -30,7 +30,7 @@ def bars(gold: DataFrame, label: str, value: str, color: str) -> DataFrame:
 def donut(gold: DataFrame, label: str, value: str, share: str = "share_pct") -> DataFrame:
     """Value and its percentage of the total, largest first."""
     total = gold.agg(F.sum(value)).scalar()
-    part = round_mean(F.col(value) * 100.0 / total, 2)
+    part = round_mean(F.try_divide(F.col(value) * 100.0, total), 2)
     return gold.select(label, value, part.alias(share)).orderBy(F.desc(value), label)
 
 

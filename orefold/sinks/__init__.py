@@ -1,5 +1,5 @@
 """Publishing of finished tables."""
 
-from .publish import Published, ensure_layer, publish
+from .publish import Published, ensure_layer, publish, publish_all
 
-__all__ = ["Published", "ensure_layer", "publish"]
+__all__ = ["Published", "ensure_layer", "publish", "publish_all"]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +25,16 @@ class Published:
 
 
 def _quoted(name: str) -> str:
-    return ".".join(f"`{part}`" for part in name.split("."))
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
+def _escaped(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def ensure_layer(spark: SparkSession, layer: str, location: str | None = None) -> None:
     """Create the schema of a layer if missing; its tables go under `location`."""
-    place = f" LOCATION '{location}'" if location else ""
+    place = " LOCATION '" + _escaped(location) + "'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(layer)}{place}")
 
 
@@ -47,7 +54,9 @@ def publish(
     name, a view, move to it, so readers see the old or the new table and `df`
     may read the very table it replaces. If `before_swap` raises, the new
     version is dropped and the name stays where it was. The `keep` versions
-    before the new one remain for readers that are still running.
+    before the new one remain for readers that are still running. Formats with
+    an atomic overwrite of their own keep versions themselves (`keep` does not
+    apply); with a gate their rows are written aside first.
 
     The row count is observed in the last stage of the write itself.
     """
@@ -58,54 +67,152 @@ def publish(
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
 
     if fmt in _TRANSACTIONAL:
-        (
-            counted.write.format(fmt)
-            .mode("overwrite")
-            .option("overwriteSchema", "true")
-            .saveAsTable(_quoted(name))
-        )
+        if before_swap is None:
+            _overwrite(counted, name, fmt)
+        else:
+            # The format's own overwrite would show the rows before the gate
+            # has spoken, so they are stored aside first.
+            aside = write_version(counted, layer, table)
+            try:
+                before_swap()
+                _overwrite(spark.table(_quoted(aside)), name, fmt)
+            finally:
+                drop_version(spark, aside)
         return Published(name, name, seen.get["rows"])
 
-    stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    version = f"{layer}.{_version_prefix(table)}{stamp}_{uuid.uuid4().hex[:6]}"
-    counted.write.format(fmt).saveAsTable(_quoted(version))
+    version = write_version(counted, layer, table, fmt=fmt)
     if before_swap is not None:
         try:
             before_swap()
         except Exception:
-            spark.sql(f"DROP TABLE {_quoted(version)}")
+            drop_version(spark, version)
             raise
-    _set_loaded_table_aside(spark, layer, table)
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT * FROM {_quoted(version)}"
-    )
-    _drop_old_versions(spark, layer, table, version, keep)
+    swap(spark, layer, table, version, keep=keep)
     return Published(name, version, seen.get["rows"])
 
 
+def write_version(df: DataFrame, layer: str, table: str, fmt: str = "parquet") -> str:
+    """Store `df` as a new version table of `layer.table`, without showing it.
+
+    A failed write leaves neither a table nor its folder.
+    """
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    version = f"{layer}.{_version_prefix(table)}{stamp}_{uuid.uuid4().hex[:6]}"
+    try:
+        df.write.format(fmt).saveAsTable(_quoted(version))
+    except Exception:
+        _remove_failed(df.sparkSession, layer, version)
+        raise
+    return version
+
+
+def swap(spark: SparkSession, layer: str, table: str, version: str, keep: int = 1) -> None:
+    """Point the name at `version`, then drop versions older than the last `keep`.
+
+    A table loaded by other means is set aside first; between that and the new
+    view the name does not exist for a moment. If the view cannot be made, the
+    loaded table gets its name back.
+    """
+    name = f"{layer}.{table}"
+    loaded = _set_loaded_table_aside(spark, layer, table)
+    try:
+        spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT * FROM {_quoted(version)}")
+    except Exception:
+        if loaded:
+            spark.sql(f"ALTER TABLE {_quoted(loaded)} RENAME TO {_quoted(name)}")
+        drop_version(spark, version)
+        raise
+    _drop_old_versions(spark, layer, table, version, keep)
+
+
+def drop_version(spark: SparkSession, version: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {_quoted(version)}")
+
+
+def publish_all(
+    frames: Mapping[str, DataFrame], layer: str, *, location: str | None = None, fmt: str = "parquet", keep: int = 1
+) -> dict[str, Published]:
+    """Replace several tables of a layer, all of them or none.
+
+    The versions are written side by side; names move only once all are
+    complete, and one failed write drops the others. Formats with an overwrite
+    of their own are replaced one after the other.
+    """
+    if fmt in _TRANSACTIONAL:
+        return {
+            table: publish(df, layer, table, location=location, fmt=fmt, keep=keep) for table, df in frames.items()
+        }
+    spark = next(iter(frames.values())).sparkSession if frames else None
+    if spark is None:
+        return {}
+    ensure_layer(spark, layer, location)
+    seen = {table: Observation() for table in frames}
+    written: dict[str, str] = {}
+
+    def write(table: str) -> None:
+        counted = frames[table].observe(seen[table], F.count(F.lit(1)).alias("rows"))
+        written[table] = write_version(counted, layer, table, fmt=fmt)
+
+    with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(write), table) for table in frames]
+    failed = [job.exception() for job in jobs if job.exception()]
+    if failed:
+        for version in written.values():
+            drop_version(spark, version)
+        raise failed[0]
+    for table in frames:
+        swap(spark, layer, table, written[table], keep=keep)
+    return {
+        table: Published(f"{layer}.{table}", written[table], seen[table].get["rows"]) for table in frames
+    }
+
+
+def _overwrite(df: DataFrame, name: str, fmt: str) -> None:
+    df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(_quoted(name))
+
+
+def _remove_failed(spark: SparkSession, layer: str, version: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {_quoted(version)}")
+    described = spark.sql(f"DESCRIBE SCHEMA {_quoted(layer)}").collect()
+    place = next((r[1] for r in described if r[0].lower() == "location"), None)
+    if place:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{place}/{version.rsplit('.', 1)[1].lower()}")
+        path.getFileSystem(conf).delete(path, True)
+
+
 def _version_prefix(table: str) -> str:
     return f"{table}__v"
 
 
-def _set_loaded_table_aside(spark: SparkSession, layer: str, table: str) -> None:
-    """A table loaded by other means becomes the oldest version of its name."""
+def _set_loaded_table_aside(spark: SparkSession, layer: str, table: str) -> str | None:
+    """A table loaded by other means becomes the oldest version of its name.
+
+    Returns the name it has now; None if there was no such table.
+    """
     name = f"{layer}.{table}"
     if not spark.catalog.tableExists(name):
-        return
+        return None
     if spark.catalog.getTable(name).tableType == "VIEW":
-        return
+        return None
     loaded = f"{layer}.{_version_prefix(table)}0_loaded"
     spark.sql(f"DROP TABLE IF EXISTS {_quoted(loaded)}")
     spark.sql(f"ALTER TABLE {_quoted(name)} RENAME TO {_quoted(loaded)}")
+    return loaded
 
 
 def _drop_old_versions(
     spark: SparkSession, layer: str, table: str, current: str, keep: int
 ) -> None:
-    prefix = _version_prefix(table).lower()
+    """Drops what this module stored for `table`, but for the last `keep`.
+
+    Only names of exactly the form that `write_version` gives are its own;
+    neighbours such as `<table>__v1` are somebody else's.
+    """
+    own = re.compile(re.escape(_version_prefix(table).lower()) + r"(0_loaded|\d{20}_[0-9a-f]{6})")
     current_name = current.rsplit(".", 1)[1].lower()
-    listed = spark.sql(f"SHOW TABLES IN {_quoted(layer)} LIKE '{prefix}*'").collect()
+    listed = spark.sql(f"SHOW TABLES IN {_quoted(layer)}").collect()
     names = (row.tableName.lower() for row in listed)
-    older = sorted(name for name in names if name < current_name)
+    older = sorted(name for name in names if own.fullmatch(name) and name < current_name)
     for name in older[: max(0, len(older) - keep)]:
         spark.sql(f"DROP TABLE IF EXISTS {_quoted(f'{layer}.{name}')}")

@@ -7,12 +7,20 @@ from .audit import (
     with_gold_audit,
     with_silver_audit,
 )
-from .readers import read_csv_declared, read_csv_strings, read_table
+from .readers import (
+    count_malformed,
+    read_csv_declared,
+    read_csv_flagged,
+    read_csv_strings,
+    read_table,
+)
 
 __all__ = [
     "BRONZE_AUDIT",
+    "count_malformed",
     "drop_bronze_audit",
     "read_csv_declared",
+    "read_csv_flagged",
     "read_csv_strings",
     "read_table",
     "with_bronze_audit",

@@ -14,10 +14,16 @@ def with_bronze_audit(
 ) -> DataFrame:
     """Add load time, source file and source layer.
 
-    Without `source_file` each row gets the name of the file it was read from;
-    `df` must then be a direct file scan.
+    Without `source_file` each row keeps the source file it has, as a stored
+    Bronze table does, or else gets the path of the file it was read from; `df`
+    must then be a direct file scan.
     """
-    file_name = F.col("_metadata.file_name") if source_file is None else F.lit(source_file)
+    if source_file is not None:
+        file_name = F.lit(source_file)
+    elif "_source_file" in df.columns:
+        file_name = F.col("_source_file")
+    else:
+        file_name = F.col("_metadata.file_path")
     return df.withColumns(
         {
             "_ingestion_timestamp": F.current_timestamp(),

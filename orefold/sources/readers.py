@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
@@ -12,29 +13,61 @@ def read_csv_strings(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Headered CSV; column names come from the header, all values are strings.
 
     A file whose header differs from the first file's is an error rather than
-    silently shifted columns.
+    silently shifted columns, and so is a row with more or fewer fields.
     """
-    return (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    return _strict(spark).option("inferSchema", False).csv(path)
 
 
 def read_csv_declared(
     spark: SparkSession, path: str | list[str], columns: Sequence[str]
 ) -> DataFrame:
-    """Headered CSV with declared string columns; a different header is an error."""
-    schema = StructType([StructField(name, StringType(), True) for name in columns])
+    """Headered CSV with declared string columns.
+
+    A different header is an error, and so is a row with more or fewer fields.
+    """
+    return _strict(spark).schema(_strings(columns)).csv(path)
+
+
+def read_csv_flagged(
+    spark: SparkSession, path: str | list[str], columns: Sequence[str], flag: str = "_malformed"
+) -> DataFrame:
+    """As `read_csv_declared`, but rows with more or fewer fields stay.
+
+    Their text is in the column `flag`, which is null for whole rows.
+    """
     return (
-        spark.read.schema(schema)
+        spark.read.schema(_strings([*columns, flag]))
         .option("header", True)
-        .option("enforceSchema", False)
+        .option("enforceSchema", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", flag)
+        .option("columnPruning", False)
         .csv(path)
     )
 
 
+def count_malformed(df: DataFrame, flag: str = "_malformed") -> DataFrame:
+    """One row: all rows of a flagged scan, and those with a wrong number of fields."""
+    return df.agg(
+        F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col(flag).isNotNull()).alias("rows_malformed")
+    )
+
+
+def _strings(columns: Sequence[str]) -> StructType:
+    return StructType([StructField(name, StringType(), True) for name in columns])
+
+
+def _strict(spark: SparkSession) -> DataFrameReader:
+    # The parser counts fields only in rows that it splits whole, so the
+    # columns of a scan are dropped after parsing.
+    return (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
+    )
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table or published view by its one- to three-part name."""
     return spark.table(name)

@@ -78,7 +78,7 @@ GOLD_EFFICIENCY = GoldTable(
         Measure("avg_retail", "mean", "d_retail", 0),
         Measure("avg_size", "mean", "d_size", 0),
     ),
-    rank=RankBy("avg_blended", "efficiency_rank", 1),
+    rank=RankBy("avg_blended", "efficiency_rank"),
     order=lambda: F.asc("efficiency_rank"),
 )
 GOLD_BY_SEGMENT = GoldTable(

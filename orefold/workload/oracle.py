@@ -230,3 +230,20 @@ ORACLE: dict[str, str] = {
     **{name: sql.strip() for name, sql in _PLAIN.items()},
     **{name: f"{_VIEWS.strip()}\n{sql.strip()}" for name, sql in _ON_VIEWS.items()},
 }
+
+ORACLE |= {
+    "q02b_ragged_rows": """
+SELECT count(*) AS rows_read, count(*) FILTER (WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0) AS rows_malformed
+FROM orders""",
+    "q04b_source_lineage": """
+SELECT s_suppkey::VARCHAR AS s_suppkey, s_name, (s_suppkey % 3)::VARCHAR AS source_drop, 'raw' AS _source_layer
+FROM supplier""",
+    "q26b_rank_orders": """
+SELECT o_orderkey, o_totalprice, rank() OVER (ORDER BY o_totalprice DESC) AS price_rank FROM orders""",
+    "q37a_built_silver": ORACLE["q20_silver_enriched"],
+    "q37b_built_by_key": ORACLE["q21_gold_by_key"],
+    "q37c_built_by_style": ORACLE["q22_gold_by_style"],
+    "q37d_built_ranking": ORACLE["q23_gold_efficiency_rank"],
+    "q37e_built_by_segment": ORACLE["q24_gold_by_segment"],
+    "q37f_rebuilt_from_bronze": ORACLE["q20_silver_enriched"],
+}

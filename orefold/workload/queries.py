@@ -23,12 +23,14 @@ from ..operators import (
     top_k,
 )
 from ..plans import panels
-from ..plans.gold import build_gold, read_gold
+from ..plans.gold import GoldTable, build_gold, read_gold
 from ..plans.layers import Layers, build_silver, read_raw_csv, run_layers
 from ..session import materialize, scratch_path
 from ..sinks import publish
 from ..sources import (
+    count_malformed,
     read_csv_declared,
+    read_csv_flagged,
     read_csv_strings,
     read_table,
     with_bronze_audit,
@@ -227,6 +229,33 @@ def silver_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.drop("_silver_timestamp")
 
 
+def ragged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV drop of the orders in which some rows have a field too many or too few."""
+    fields = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    parts = [F.col(name).cast("string") for name in fields]
+    line = (
+        F.when(F.col("o_orderkey") % 7 == 0, F.concat_ws(",", *parts, F.lit("extra")))
+        .when(F.col("o_orderkey") % 11 == 0, F.concat_ws(",", *parts[:2]))
+        .otherwise(F.concat_ws(",", *parts))
+    )
+    path = scratch_path(spark, "ragged-csv")
+    raw = given(spark, sf_dir, "orders").select(line.alias(",".join(fields)))
+    raw.write.option("header", True).option("sep", "\u0001").csv(path)
+    return count_malformed(read_csv_flagged(spark, path, fields))
+
+
+def source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of several folders of files each row came from."""
+    path = scratch_path(spark, "supplier-drops")
+    drops = given(spark, sf_dir, "supplier").select("s_suppkey", "s_name", (F.col("s_suppkey") % 3).alias("drop"))
+    drops.write.option("header", True).partitionBy("drop").csv(path)
+    scan = read_csv_strings(spark, [f"{path}/drop={i}" for i in range(3)])
+    audited = with_bronze_audit(scan)
+    return audited.select(
+        "s_suppkey", "s_name", F.regexp_extract("_source_file", "drop=([0-9]+)/", 1).alias("source_drop"), "_source_layer"
+    )
+
+
 # --- gold -------------------------------------------------------------------
 
 
@@ -235,9 +264,7 @@ def gold_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_by_style(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Reads fact columns only, and the left join to a unique key keeps every
-    # fact once: the join is left out.
-    return build_gold(line_facts(spark, sf_dir), GOLD_BY_STYLE)
+    return build_gold(enriched(spark, sf_dir), GOLD_BY_STYLE)
 
 
 def _efficiency_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,10 +285,8 @@ def _efficiency_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_efficiency_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = materialize(_efficiency_groups(spark, sf_dir), GOLD_EFFICIENCY.name)
-    rank = GOLD_EFFICIENCY.rank
-    ranked = global_rank(groups, rank.score, rank.name, rank.digits)
-    return ranked.orderBy(rank.name, *GOLD_EFFICIENCY.keys)
+    ranked = build_gold(enriched(spark, sf_dir), GOLD_EFFICIENCY)
+    return ranked.orderBy(GOLD_EFFICIENCY.rank.name, *GOLD_EFFICIENCY.keys)
 
 
 def gold_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,7 +295,7 @@ def gold_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pct_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     percent = next(m for m in GOLD_BY_SEGMENT.measures if m.name == "pct_open")
-    return summarize(line_facts(spark, sf_dir), ["l_suppkey"], [percent])
+    return summarize(enriched(spark, sf_dir), ["l_suppkey"], [percent])
 
 
 def rank_all_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,7 +305,13 @@ def rank_all_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_partkey", "flag")
         .agg(round_mean(F.avg(priced_qty), 1).alias("score"))
     )
-    return global_rank(materialize(groups, "score-groups"), "score", "score_rank", 1)
+    return global_rank(materialize(groups, "score-groups"), "score", "score_rank")
+
+
+def rank_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score without bound or rounding, over every order."""
+    orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return global_rank(orders, "o_totalprice", "price_rank", "bigint")
 
 
 def business_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,11 +385,57 @@ def layered_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_gold(spark, layers.gold, GOLD_BY_SEGMENT).drop("_gold_timestamp")
 
 
+_built: dict[tuple[str, str], Layers] = {}
+
+
+def built_layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """The published layers of one `run_layers`, shared by the queries below."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _built:
+        lines = write_csv(named_lines(raw_lines(spark, sf_dir)), "lines-csv")
+        parts = write_csv(given(spark, sf_dir, "part"), "parts-csv")
+        sources = {
+            LINES.facts.name: read_raw_csv(spark, LINES.facts, lines),
+            LINES.dimension.name: read_raw_csv(spark, LINES.dimension, parts),
+        }
+        run, folder = fresh_layer(spark)
+        layers = Layers(f"{run}_bronze", f"{run}_silver", f"{run}_gold", location=folder)
+        run_layers(spark, LINES, sources, layers)
+        _built[key] = layers
+    return _built[key]
+
+
+def built_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = built_layers(spark, sf_dir)
+    return read_table(spark, f"{layers.silver}.{LINES.silver}").drop("_silver_timestamp")
+
+
+def _built_gold(table: GoldTable) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        gold = built_layers(spark, sf_dir).gold
+        return read_gold(spark, gold, table).drop("_gold_timestamp")
+
+    return query
+
+
+def rebuilt_from_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of a second run whose sources are the Bronze tables of the first."""
+    first = built_layers(spark, sf_dir)
+    names = (LINES.facts.name, LINES.dimension.name)
+    sources = {name: read_table(spark, f"{first.bronze}.{name}") for name in names}
+    run, folder = fresh_layer(spark)
+    layers = Layers(f"{run}_bronze", f"{run}_silver", f"{run}_gold", location=folder)
+    run_layers(spark, LINES, sources, layers)
+    return read_table(spark, f"{layers.silver}.{LINES.silver}").drop("_silver_timestamp")
+
+
 QUERIES: dict[str, Query] = {
     "q01_csv_header_scan": csv_header_scan,
     "q02_csv_schema_scan": csv_schema_scan,
+    "q02b_ragged_rows": ragged_rows,
     "q03_publish_roundtrip": publish_roundtrip,
     "q04_audit_columns": audit_columns,
+    "q04b_source_lineage": source_lineage,
     "q05_rewrite_in_place": rewrite_in_place,
     "q06_sentinel_to_null": sentinel_all_strings,
     "q06b_sentinel_listed": sentinel_listed,
@@ -388,6 +465,7 @@ QUERIES: dict[str, Query] = {
     "q24_gold_by_segment": gold_by_segment,
     "q25_pct_flag": pct_flag,
     "q26_global_rank": rank_all_groups,
+    "q26b_rank_orders": rank_orders,
     "q27_business_order": business_order,
     "q28_topk_efficient": topk_efficient,
     "q29_kpi_distinct": kpi_distinct,
@@ -399,4 +477,10 @@ QUERIES: dict[str, Query] = {
     "q35_treemap": panel_treemap,
     "q36_sample_limit": sample_limit,
     "q37_layered_build": layered_build,
+    "q37a_built_silver": built_silver,
+    "q37b_built_by_key": _built_gold(GOLD_BY_KEY),
+    "q37c_built_by_style": _built_gold(GOLD_BY_STYLE),
+    "q37d_built_ranking": _built_gold(GOLD_EFFICIENCY),
+    "q37e_built_by_segment": _built_gold(GOLD_BY_SEGMENT),
+    "q37f_rebuilt_from_bronze": rebuilt_from_bronze,
 }

@@ -61,3 +61,12 @@ def test_dedupe_audit(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 1), (None, 1)], "a int, b int")
     assert rows(dedupe_audit(df, ["a", "b"])) == [(5, 3, 2)]
     assert rows(dedupe_audit(df.limit(0), ["a", "b"])) == [(0, 0, 0)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strictness_does_not_depend_on_the_session(spark, conf, ansi):
+    conf("spark.sql.ansi.enabled", ansi)
+    df = spark.createDataFrame([("1",), ("x",)], "i string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        cast_columns(df, {"i": "int"}).collect()
+    assert rows(cast_columns(df, {"i": "int"}, lenient=True)) == [(1,), (None,)]

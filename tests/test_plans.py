@@ -11,8 +11,8 @@ from orefold.workload.queries import QUERIES
 from .conftest import plan_of
 
 SF_DIR = "/root/testdata/sf0.001"
-TOTALS_ONLY = {"q07c_cast_rejects", "q10_dedupe_audit", "q29_kpi_distinct", "q30_kpi_mean_of_means"}
-WRITES_FIRST = {"q03_publish_roundtrip", "q05_rewrite_in_place", "q37_layered_build"}
+TOTALS_ONLY = {"q07c_cast_rejects", "q10_dedupe_audit", "q29_kpi_distinct", "q30_kpi_mean_of_means", "q02b_ragged_rows"}
+WRITES_FIRST = {"q03_publish_roundtrip", "q05_rewrite_in_place", "q37_layered_build", "q37f_rebuilt_from_bronze"}
 
 
 def plan(spark, name):
@@ -42,7 +42,7 @@ def test_pruning_and_pushdown(spark):
     text = plan(spark, "q19_enrich_left")
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int>" in text
     text = plan(spark, "q25_pct_flag")
-    assert "ReadSchema: struct<l_suppkey:bigint,l_linestatus:string>" in text
+    assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_linestatus:string>" in text
 
 
 @pytest.mark.parametrize("name", ["q19_enrich_left", "q20_silver_enriched", "q21_gold_by_key"])

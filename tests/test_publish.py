@@ -1,7 +1,9 @@
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
-from orefold.sinks import ensure_layer, publish
+from orefold.sinks import ensure_layer, publish, publish_all
 from orefold.sources import read_table
 
 from .conftest import rows
@@ -96,3 +98,79 @@ def test_filters_reach_the_files_through_the_published_name(spark, layer):
     publish(spark.range(4).withColumn("x", F.lit("a")), name, "t", location=folder)
     plan = plan_of(read_table(spark, f"{name}.t").filter("id = 3").select("id"))
     assert "EqualTo(id,3)" in plan and "ReadSchema: struct<id:bigint>" in plan
+
+
+# --- what belongs to somebody else stays ------------------------------------
+
+
+def test_neighbouring_names_are_left_alone(spark, layer):
+    name, folder = layer
+    ensure_layer(spark, name, folder)
+    spark.range(3).write.saveAsTable(f"{name}.s__v1")
+    publish(spark.range(4), name, "t__v1", location=folder)
+    for n in range(1, 5):
+        publish(spark.range(n), name, "s", location=folder)
+        publish(spark.range(n), name, "t", location=folder)
+    assert spark.table(f"{name}.s__v1").count() == 3
+    assert spark.table(f"{name}.t__v1").count() == 4
+    assert len(versions(spark, name, "s")) == 3  # two of its own and the neighbour
+
+
+def test_gate_holds_for_formats_with_an_overwrite_of_their_own(spark, layer, monkeypatch):
+    module = sys.modules["orefold.sinks.publish"]
+    monkeypatch.setattr(module, "_TRANSACTIONAL", ("parquet",))
+    name, folder = layer
+    publish(spark.range(3), name, "t", location=folder)
+
+    def refuse():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        publish(spark.range(9), name, "t", location=folder, before_swap=refuse)
+    assert spark.table(f"{name}.t").count() == 3 and not versions(spark, name, "t")
+    done = publish(spark.range(5), name, "t", location=folder, before_swap=lambda: None)
+    assert done.rows == 5 and spark.table(f"{name}.t").count() == 5
+
+
+def test_a_failing_view_gives_the_loaded_table_its_name_back(spark, layer, monkeypatch):
+    name, folder = layer
+    ensure_layer(spark, name, folder)
+    spark.range(6).write.saveAsTable(f"{name}.t")
+    plain = type(spark).sql
+
+    def sql(self, text, *args, **kwargs):
+        if text.startswith("CREATE OR REPLACE VIEW"):
+            raise RuntimeError("no views today")
+        return plain(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    with pytest.raises(RuntimeError):
+        publish(spark.range(2), name, "t", location=folder)
+    monkeypatch.undo()
+    assert spark.table(f"{name}.t").count() == 6 and not versions(spark, name, "t")
+
+
+def test_a_failed_write_leaves_nothing(spark, layer, tmp_path):
+    name, folder = layer
+    bad = spark.range(4).select(F.when(F.col("id") == 3, F.raise_error(F.lit("boom")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        publish(bad, name, "t", location=folder)
+    assert not versions(spark, name, "t") and not list((tmp_path / name).glob("*__v*"))
+
+
+def test_all_tables_of_a_group_or_none(spark, layer):
+    name, folder = layer
+    publish_all({"a": spark.range(2), "b": spark.range(3)}, name, location=folder)
+    bad = spark.range(4).select(F.raise_error(F.lit("boom")).alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        publish_all({"a": spark.range(7), "b": bad.select(F.col("id").cast("long"))}, name, location=folder)
+    assert (spark.table(f"{name}.a").count(), spark.table(f"{name}.b").count()) == (2, 3)
+    assert len(versions(spark, name, "a")) == 1
+    done = publish_all({"a": spark.range(7), "b": spark.range(8)}, name, location=folder)
+    assert {t: p.rows for t, p in done.items()} == {"a": 7, "b": 8}
+
+
+def test_a_location_with_a_quote(spark, layer, tmp_path):
+    name, _ = layer
+    publish(spark.range(2), name, "t", location=str(tmp_path / "it's"))
+    assert spark.table(f"{name}.t").count() == 2

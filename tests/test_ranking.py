@@ -13,12 +13,12 @@ from .conftest import plan_of, rows
 
 def both(df, digits):
     expected = F.rank().over(Window.orderBy(F.desc("s")))
-    return rows(global_rank(df, "s", "r", digits)), rows(df.withColumn("r", expected))
+    return rows(global_rank(df, "s", "r")), rows(df.withColumn("r", expected))
 
 
 def test_ties_gaps_and_nulls(spark):
     df = spark.createDataFrame([(1, 2.0), (2, 3.0), (3, 3.0), (4, None), (5, None), (6, 1.0)], "k int, s double")
-    got = global_rank(df, "s", "r", 1)
+    got = global_rank(df, "s", "r")
     assert dict(got.dtypes)["r"] == "int"
     assert {r.k: r.r for r in got.collect()} == {2: 1, 3: 1, 1: 3, 6: 4, 4: 5, 5: 5}
 
@@ -40,7 +40,7 @@ def test_equals_rank_over_the_whole_table(spark, scores):
 
 def test_no_row_of_the_table_goes_to_a_single_task(spark):
     stored = spark.range(5000).selectExpr("id k", "round(id % 300 / 10, 1) s")
-    plan = plan_of(global_rank(stored, "s", "r", 1))
+    plan = plan_of(global_rank(stored, "s", "r"))
     assert "SinglePartition" not in plan and "Window" not in plan
     assert "BroadcastHashJoin" in plan
 
@@ -61,3 +61,24 @@ def test_first_rows(spark):
 def test_ordinal(spark, value, place):
     df = spark.createDataFrame([(value,)], "v string")
     assert df.select(ordinal("v", ["low", "high"])).first()[0] == place
+
+
+def test_unrounded_scores_over_a_wide_range(spark):
+    df = spark.range(3000).select(F.col("id").alias("k"), (F.rand(3) * F.pow(F.lit(10.0), F.col("id") % 12)).alias("s"))
+    stored = spark.createDataFrame(df.collect(), "k long, s double")
+    got, wanted = both(stored, 1)
+    assert got == wanted
+
+
+def test_a_single_task_gets_a_row_per_range(spark, conf, monkeypatch):
+    from orefold.operators import ranking
+
+    seen = []
+    plain = ranking.materialize
+    monkeypatch.setattr(ranking, "materialize", lambda df, label: seen.append(plan_of(df)) or plain(df, label))
+    df = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 1e6).alias("s"))
+    global_rank(df, "s", "r")
+    ranges, ranks = seen
+    assert "SinglePartition" not in ranges and "rangepartitioning" in ranges
+    single = ranks.index("SinglePartition")
+    assert "partial_sum" in ranks[:single] or "sum(_rows" in ranks[:single]

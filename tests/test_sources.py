@@ -2,8 +2,10 @@ import pytest
 
 from orefold.session import scratch_path, shared_dir
 from orefold.sources import (
+    count_malformed,
     drop_bronze_audit,
     read_csv_declared,
+    read_csv_flagged,
     read_csv_strings,
     with_bronze_audit,
     with_gold_audit,
@@ -56,9 +58,11 @@ def test_bronze_audit_from_parameter_or_file(spark, tmp_path):
     assert rows(named) == [("1", "cars.csv", "landing"), ("2", "cars.csv", "landing")]
     per_file = with_bronze_audit(df)
     assert rows(per_file.select("a", "_source_file", "_source_layer")) == [
-        ("1", "1.csv", "raw"),
-        ("2", "2.csv", "raw"),
+        ("1", f"file:{tmp_path}/1.csv", "raw"),
+        ("2", f"file:{tmp_path}/2.csv", "raw"),
     ]
+    # A stored table keeps what it was stored with.
+    assert rows(with_bronze_audit(per_file).select("a", "_source_file")) == rows(per_file.select("a", "_source_file"))
     assert per_file.filter("_ingestion_timestamp is null").isEmpty()
     assert drop_bronze_audit(per_file).columns == ["a"]
 
@@ -84,3 +88,24 @@ def test_no_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(FakeSession({"spark.master": "yarn"}))
     assert shared_dir(FakeSession({"spark.master": "local[2]"}))
+
+
+# --- rows with a wrong number of fields -------------------------------------
+
+
+@pytest.mark.parametrize("line", ["4,5", "6,7,8,9"])
+@pytest.mark.parametrize("declared", [True, False])
+def test_ragged_rows_stop_the_load(spark, tmp_path, line, declared):
+    put(tmp_path / "r.csv", "a,b,c", "1,2,3", line)
+    path = str(tmp_path / "r.csv")
+    df = read_csv_declared(spark, path, ["a", "b", "c"]) if declared else read_csv_strings(spark, path)
+    for shown in (df, df.select("a"), df.select("c")):
+        with pytest.raises(Exception, match="MALFORMED"):
+            shown.collect()
+
+
+def test_ragged_rows_are_counted(spark, tmp_path):
+    put(tmp_path / "r.csv", "a,b,c", "1,2,3", "4,5", "6,7,8,9", "x,,z")
+    df = read_csv_flagged(spark, str(tmp_path / "r.csv"), ["a", "b", "c"])
+    assert rows(count_malformed(df)) == [(4, 2)]
+    assert rows(df.filter("_malformed is null").select("a", "b", "c")) == [("1", "2", "3"), ("x", None, "z")]
