@@ -48,9 +48,10 @@ def read_csv_flagged(
 
 def count_malformed(df: DataFrame, flag: str = "_malformed") -> DataFrame:
     """One row: all rows of a flagged scan, and those with a wrong number of fields."""
-    return df.agg(
-        F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col(flag).isNotNull()).alias("rows_malformed")
-    )
+    # A scan must read some column beside the flag.
+    first = next(c for c in df.columns if c != flag)
+    malformed = F.col(flag).isNotNull() & (F.coalesce(F.length(first), F.lit(0)) >= 0)
+    return df.agg(F.count(F.lit(1)).alias("rows_read"), F.count_if(malformed).alias("rows_malformed"))
 
 
 def _strings(columns: Sequence[str]) -> StructType:
