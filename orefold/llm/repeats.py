@@ -184,10 +184,28 @@ def _surrounding(length: int, seed: int, hot: bool):
                 keep = np.isin(windows.seeds[at], known[bounds[first] : bounds[last]])
                 at, low, high, text = at[keep], low[keep], high[keep], text[keep]
                 if hot:
+                    # Strings met before in the chunk are later ones for sure and
+                    # leave as runs; the others go on to meet those of other chunks.
                     count = high - low + 1
                     step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                     low, text = np.repeat(low, count) + step, np.repeat(text, count)
-                    kind = {"string": pa.array(windows.hash(low, low + length).view(np.int64))}
+                    hashes = windows.hash(low, low + length)
+                    order = np.lexsort([docs[c][first:last] for c in reversed(ids)])
+                    rank = np.empty(len(order), np.int64)
+                    rank[order] = np.arange(len(order))
+                    by = np.lexsort((low, rank[text], hashes))
+                    later = np.zeros(len(by), bool)
+                    later[by[1:]] = hashes[by[1:]] == hashes[by[:-1]]
+                    begin, finish = _runs(later, text, low)
+                    rest = np.flatnonzero(~later)
+                    end = low[finish] + length - windows.offsets[text[begin]]
+                    use = np.concatenate([begin, rest])
+                    low, text = low[use], text[use]
+                    none = pa.nulls(len(begin), pa.int64()), pa.nulls(len(rest), pa.int64())
+                    kind = {
+                        "string": pa.concat_arrays([none[0], pa.array(hashes[rest].view(np.int64))]),
+                        "end": pa.concat_arrays([pa.array(end), none[1]]),
+                    }
                 else:
                     base = limits[first]
                     cut = zip((base + low).tolist(), (base + high + length).tolist())
@@ -219,6 +237,15 @@ def _deciding(length: int):
     return decide
 
 
+def _runs(later: np.ndarray, row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of each run of marked neighbours in one row."""
+    found = np.flatnonzero(later)
+    new = np.ones(len(found), bool)
+    new[1:] = (row[found[1:]] != row[found[:-1]]) | (place[found[1:]] != place[found[:-1]] + 1)
+    begin = np.flatnonzero(new)
+    return found[begin], found[np.append(begin[1:], len(found)) - 1] if len(found) else found
+
+
 def _later_runs(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
     rows = rows.combine_chunks()
     around = rows["around"].combine_chunks()
@@ -238,13 +265,7 @@ def _later_runs(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
     by = np.lexsort((step, rank[row], hashes))
     later = np.zeros(len(row), bool)
     later[by[1:]] = hashes[by[1:]] == hashes[by[:-1]]
-    found = np.flatnonzero(later)
-    if not len(found):
-        return
-    new = np.ones(len(found), bool)
-    new[1:] = (np.diff(found) > 1) | (row[found[1:]] != row[found[:-1]])
-    begin = found[new]
-    finish = found[np.append(np.flatnonzero(new)[1:], len(found)) - 1]
+    begin, finish = _runs(later, row, step)
     of = row[begin]
     yield pa.record_batch(
         {
@@ -376,7 +397,9 @@ def repeated_bytes(
         .sortWithinPartitions("seed")
         .mapInArrow(_deciding(length), "doc_id long, text_a long, text_b long, from long, to long")
     )
-    strings = near("hot", f"string long, {place}")
+    hot_rows = materialize(near("hot", f"string long, end long, {place}"), "repeat-hot-strings")
+    strings = hot_rows.filter("string is not null")
+    known_later = hot_rows.filter("end is not null").select("doc_id", *names, F.col("start").alias("from"), F.col("end").alias("to"))
     here = F.struct("doc_id", *names, "start")
     first = strings.groupBy("string").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("times"))
     hot_runs = (
@@ -384,7 +407,7 @@ def repeated_bytes(
         .filter(here != F.col("first"))
         .select("doc_id", *names, F.col("start").alias("from"), (F.col("start") + length).alias("to"))
     )
-    runs = cool_runs.union(hot_runs).groupBy(*names).agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+    runs = cool_runs.union(hot_runs).union(known_later).groupBy(*names).agg(F.collect_list(F.struct("from", "to")).alias("spans"))
     cut = (
         texts.join(runs, names)
         .select("doc_id", *names, "text", "spans")
