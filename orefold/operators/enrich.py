@@ -64,6 +64,7 @@ def enrich_left(
     unique: bool = True,
     salt_buckets: int = 0,
     hot_limit: int = 100,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Left join on the one key column; facts without a match keep nulls.
 
@@ -73,7 +74,9 @@ def enrich_left(
     keys and the null key are spread explicitly: their facts over that many
     buckets by row hash, and only their dimension rows are repeated per bucket.
     That also works where the join output feeds an aggregation on the same key,
-    which keeps adaptive execution from splitting.
+    which keeps adaptive execution from splitting. The frequent keys are counted
+    on `keys`, a frame with the key column, or else on the facts themselves,
+    which runs the plan of the facts once more.
 
     `unique=False` lets a dimension with several rows per key multiply facts.
     """
@@ -81,7 +84,7 @@ def enrich_left(
     if not salt_buckets:
         return facts.join(checked, on=on, how="left")
 
-    hot = hot_keys(facts, on, hot_limit)
+    hot = hot_keys(facts if keys is None else keys, on, hot_limit)
     key = F.col(on)
     # A function of the row, so a re-run task sends it to the same place again.
     spread = F.pmod(F.xxhash64(*facts.columns), F.lit(salt_buckets)).cast("int")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -139,10 +139,26 @@ def build_silver(
             build.key,
             salt_buckets=salt_buckets,
             hot_limit=hot_limit,
+            keys=_keys(facts, build, lenient),
         )
     )
 
 
+def _keys(facts: DataFrame, build: Build, lenient: bool) -> DataFrame:
+    """The key column of the facts, cleaned, with the copies still in it.
+
+    Enough to find frequent keys, and read without the other columns.
+    """
+    raw, key = build.facts, build.key
+    only = replace(
+        raw,
+        types={name: kind for name, kind in raw.types.items() if name == key},
+        text=[name for name in raw.text if name == key],
+        masked=None if raw.masked is None else [name for name in raw.masked if name == key],
+    )
+    return clean(facts.select(key), only, build.sentinel, lenient)
+
+
 def run_layers(
     spark: SparkSession,
     build: Build,

@@ -248,3 +248,21 @@ def test_reordered_header_stops_the_build(spark, raw, layers, tmp_path):
     cars = write(tmp_path / "swapped.csv", header, [["0"] * len(header)])
     with pytest.raises(Exception, match="header|Header"):
         run_layers(spark, CAR_MARKET, csv_sources(spark, cars, raw[1]), layers)
+
+
+def test_frequent_keys_are_counted_on_the_key_column_alone(spark):
+    from orefold.plans.layers import build_silver
+    from orefold.workload.lines import LINES, given, named_lines, raw_lines
+
+    from .conftest import plan_of
+
+    folder = "/root/testdata/sf0.001"
+    facts, parts = named_lines(raw_lines(spark, folder)), given(spark, folder, "part")
+    salted = build_silver(facts, parts, LINES, salt_buckets=4)
+    text = plan_of(salted)
+    main, extra = text.split("===== Subqueries =====")
+    assert "ReadSchema: struct<l_partkey:bigint>" in extra
+    whole_row = "l_orderkey"
+    assert whole_row in main and whole_row not in extra
+    plain = build_silver(facts, parts, LINES)
+    assert rows(salted.drop("_silver_timestamp")) == rows(plain.drop("_silver_timestamp"))
