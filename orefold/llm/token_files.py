@@ -36,14 +36,14 @@ _MASK = 0xA282EAD8
 _NULL_ID = -(2**63)
 _ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("n_tokens", "<u8"), ("before", "<u8")])
 # Words after which the memory of words begins a new generation.
-_REMEMBERED = 200_000
+_REMEMBERED = 400_000
 _PIECE = 1 << 20
 
 _BETWEEN = "\x01"
 _TOGETHER = 5_000
-_encoders: dict[str, tuple] = {}
+_encoders: dict[tuple[str, int], tuple] = {}
 
-Encode = Callable[[list[str]], dict[str, np.ndarray]]
+Encode = Callable[[list[str]], Iterator[tuple[list[str], list[bytes]]]]
 
 
 def masked_crc(data: bytes) -> int:
@@ -77,8 +77,8 @@ def open_folder(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
 
 
-def json_tokenizer(path: str) -> tuple[Encode, int]:
-    """Encoder of word lists and vocabulary size of a tokenizers JSON file.
+def json_tokenizer(path: str, end_id: int) -> tuple[Encode, np.dtype]:
+    """Encoder of word lists to bytes of ids, and the type of the ids.
 
     Calls cost more than words, so many words are encoded as one text. A word of
     letters alone ends with the one of its ids that marks a word's end; if that
@@ -90,44 +90,46 @@ def json_tokenizer(path: str) -> tuple[Encode, int]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    mark = ids_of(tokenizer, _BETWEEN)
+    dtype = np.dtype("<u2" if max(tokenizer.get_vocab_size(), end_id + 1) <= 65536 else "<u4")
+    mark = tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
     suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix") or ""
     last = np.zeros(tokenizer.get_vocab_size(), bool)
     if suffix:
         last[[i for t, i in tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
 
-    def by_ends(words: list[str]) -> list[np.ndarray] | None:
-        ids = ids_of(tokenizer, " ".join(words))
+    def ids_of(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype)
+
+    def pieces(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        data, width = ids.tobytes(), dtype.itemsize
+        return [data[x:y] for x, y in zip((starts * width).tolist(), (ends * width).tolist())]
+
+    def by_ends(words: list[str]) -> list[bytes] | None:
+        ids = ids_of(" ".join(words))
         cuts = np.flatnonzero(last[ids]) + 1
         if len(cuts) != len(words) or (len(cuts) and cuts[-1] != len(ids)):
             return None
-        return [ids[x:y] for x, y in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+        return pieces(ids, np.append(0, cuts[:-1]), cuts)
 
-    def by_marks(words: list[str]) -> list[np.ndarray]:
+    def by_marks(words: list[str]) -> list[bytes]:
         if len(mark) != 1:
-            return [ids_of(tokenizer, w) for w in words]
-        ids = ids_of(tokenizer, f" {_BETWEEN} ".join("" if _BETWEEN in w else w for w in words))
-        cuts = np.flatnonzero(ids == mark[0]).tolist()
-        pieces = [ids[x + 1 : y] for x, y in zip([-1, *cuts], [*cuts, len(ids)])]
-        return [ids_of(tokenizer, w) if _BETWEEN in w else p for w, p in zip(words, pieces)]
-
-    def encode(words: list[str]) -> dict[str, np.ndarray]:
-        found: dict[str, np.ndarray] = {}
+            return [ids_of(w).tobytes() for w in words]
+        ids = ids_of(f" {_BETWEEN} ".join("" if _BETWEEN in w else w for w in words))
+        cuts = np.flatnonzero(ids == mark[0])
+        found = pieces(ids, np.append(0, cuts + 1), np.append(cuts, len(ids)))
+        return [ids_of(w).tobytes() if _BETWEEN in w else p for w, p in zip(words, found)]
+
+    def encode(words: list[str]) -> Iterator[tuple[list[str], list[bytes]]]:
         letters = [w for w in words if w.isalpha()]
         others = [w for w in words if not w.isalpha()]
         for a in range(0, len(letters), _TOGETHER):
             part = letters[a : a + _TOGETHER]
-            found.update(zip(part, by_ends(part) or by_marks(part)))
+            yield part, by_ends(part) or by_marks(part)
         for a in range(0, len(others), _TOGETHER):
             part = others[a : a + _TOGETHER]
-            found.update(zip(part, by_marks(part)))
-        return found
-
-    return encode, tokenizer.get_vocab_size()
-
+            yield part, by_marks(part)
 
-def ids_of(tokenizer, text: str) -> np.ndarray:
-    return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+    return encode, dtype
 
 
 class Memory(dict):
@@ -137,19 +139,16 @@ class Memory(dict):
         super().__init__()
         self.older: dict[bytes, bytes] = {}
 
-    def learn(self, words: set[bytes], encode: Encode, dtype: np.dtype) -> None:
+    def learn(self, words: set[bytes], encode: Encode) -> None:
         if len(self) > _REMEMBERED:
             self.older = dict(self)
             self.clear()
-        new = []
-        for word in words.difference(self):
-            ids = self.older.get(word)
-            if ids is None:
-                new.append(word)
-            else:
-                self[word] = ids
-        for word, ids in encode([w.decode() for w in new]).items():
-            self[word.encode()] = ids.astype(dtype).tobytes()
+        new = words.difference(self)
+        for word in new.intersection(self.older):
+            self[word] = self.older[word]
+        new = new.difference(self.older)
+        for part, ids in encode(b"\n".join(new).decode().split("\n") if new else []):
+            self.update(zip("\n".join(part).encode().split(b"\n"), ids))
 
 
 def encoded(
@@ -166,7 +165,7 @@ def encoded(
     size = 0
 
     def flush() -> Iterator[bytes]:
-        known.learn(set().union(*held), encode, dtype)
+        known.learn(set().union(*held), encode)
         for parts in held:
             yield b"".join(map(known.__getitem__, parts)) + end
         held.clear()
@@ -183,10 +182,9 @@ def encoded(
 def _writing(folder: str, tokenizer: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A Python worker serves many tasks: the tokenizer and the words stay with it.
-        if tokenizer not in _encoders:
-            _encoders[tokenizer] = (*json_tokenizer(tokenizer), Memory())
-        encode, vocabulary, known = _encoders[tokenizer]
-        dtype = np.dtype("<u2" if max(vocabulary, end_id + 1) <= 65536 else "<u4")
+        if (tokenizer, end_id) not in _encoders:
+            _encoders[tokenizer, end_id] = (*json_tokenizer(tokenizer, end_id), Memory())
+        encode, dtype, known = _encoders[tokenizer, end_id]
         task = TaskContext.get()
         shard = task.partitionId()
         system, base = open_folder(folder)
