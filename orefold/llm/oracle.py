@@ -38,6 +38,27 @@ FROM (
 JOIN t ON d.source IS NOT DISTINCT FROM t.source
 """
 
+OP2 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+         ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS k FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+      FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (
+  SELECT c.a, c.b FROM c JOIN n x ON c.a = x.doc_id JOIN n y ON c.b = y.doc_id
+  WHERE 100 * c.common >= 80 * (x.n + y.n - c.common)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents
+      UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM documents d JOIN m ON d.doc_id = m.a LEFT JOIN n ON d.doc_id = n.doc_id
+"""
+
 OP3 = r"""
 WITH t AS (
   SELECT conv_id, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '<\|') AS body,
@@ -61,7 +82,33 @@ SELECT conv_id, speaker, part, count(*) AS n_turns, count(*) FILTER (WHERE mine)
 FROM m GROUP BY conv_id, speaker, part
 """
 
+OP5 = """
+WITH l AS (
+  SELECT doc_id, unnest(p) AS line, generate_subscripts(p, 1) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents)),
+r AS (
+  SELECT *, lead(line) OVER d AS next, lead(i) OVER d AS has_next FROM l
+  WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+f AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY line, next ORDER BY doc_id, i) > 1 AS later
+  FROM r WHERE has_next IS NOT NULL),
+g AS (
+  SELECT l.doc_id, l.i, l.line, coalesce(a.later, false) OR coalesce(b.later, false) AS gone
+  FROM l LEFT JOIN f a ON l.doc_id = a.doc_id AND l.i = a.i
+         LEFT JOIN f b ON l.doc_id = b.doc_id AND l.i = b.i + 1),
+h AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, gone ORDER BY i) AS run FROM g),
+k AS (SELECT doc_id, run, count(*) AS n FROM h WHERE gone GROUP BY doc_id, run),
+t AS (SELECT doc_id, count(*) AS n_runs, max(n) AS longest_run FROM k GROUP BY doc_id)
+SELECT h.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+       coalesce(any_value(t.n_runs), 0) AS n_runs, coalesce(any_value(t.longest_run), 0) AS longest_run,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM h LEFT JOIN t ON h.doc_id = t.doc_id GROUP BY h.doc_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op2_superminhash": OP2,
     "op3_perspectives": OP3,
+    "op5_line_runs": OP5,
     "op10_mix_sources": OP10,
 }

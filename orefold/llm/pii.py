@@ -35,6 +35,7 @@ GAZETTEER = (
 _LABELERS = 5
 _WEIGHTS = 4096
 _FEATURES = 7
+_FILL = 128
 _ROUNDS = 30
 
 _SPAN = "array<struct<start:int,end:int,value:string>>"
@@ -54,11 +55,25 @@ def matches(text: Column, pattern: str, holds: Column) -> Column:
             span = F.struct(start.alias("start"), end.alias("end"), F.get(found, i).alias("value"))
             return F.struct(end.alias("at"), F.concat(a["spans"], F.array(span)).alias("spans"))
 
+        # Appending copies the array, so a text full of matches fills blocks.
+        def fill(a: Column, block: Column) -> Column:
+            own = F.aggregate(
+                F.sequence(block * _FILL, F.least(block * _FILL + (_FILL - 1), F.size(found) - 1)),
+                F.struct(a["at"].alias("at"), F.array().cast(_SPAN).alias("spans")),
+                add,
+            )
+            return bind(
+                own,
+                lambda x: F.struct(
+                    x["at"].alias("at"), F.concat(a["blocks"], F.array(x["spans"])).alias("blocks")
+                ),
+            )
+
         return F.aggregate(
-            F.sequence(F.lit(0), F.size(found) - 1),
-            F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans")),
-            add,
-            lambda a: a["spans"],
+            F.sequence(F.lit(0), F.floor((F.size(found) - 1) / _FILL).cast("int")),
+            F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("blocks")),
+            fill,
+            lambda a: F.flatten(a["blocks"]),
         )
 
     none = F.array().cast(_SPAN)
