@@ -57,7 +57,13 @@ def seeds_of(n: int, percent: int) -> tuple[int, list[int]]:
     return n // pieces, [i * n // pieces for i in range(pieces)]
 
 
-def walk_keys(rows: np.ndarray, lengths: np.ndarray, repeats: int, samples: int) -> np.ndarray:
+def walk_keys(
+    rows: np.ndarray,
+    lengths: np.ndarray,
+    repeats: int,
+    samples: int,
+    sought: np.ndarray | None = None,
+) -> np.ndarray:
     """LSH keys (rows x repeats) of padded word sequences.
 
     Each repeat walks through the sequence: a step writes the current word and
@@ -65,8 +71,12 @@ def walk_keys(rows: np.ndarray, lengths: np.ndarray, repeats: int, samples: int)
     over two sequences fall into step again soon after an edit, so few edits
     leave most of the written words equal. The key of a repeat hashes `samples`
     of the words written.
+
+    `sought` is the length of the item that a sequence may be: the steps sampled
+    depend on it, so that a sequence cut off by its text keeps them.
     """
     n = len(rows)
+    sought = lengths if sought is None else sought
     keys = np.zeros((n, repeats), np.uint64)
     if not n:
         return keys
@@ -74,7 +84,7 @@ def walk_keys(rows: np.ndarray, lengths: np.ndarray, repeats: int, samples: int)
     for r in range(repeats):
         picks = mix(np.arange(1, samples + 1, dtype=np.uint64) + np.uint64(1000 * r))
         # A walk needs about twice its sequence's length; sample inside that.
-        at = (picks[None, :] % np.maximum(lengths * 3 // 2, 1).astype(np.uint64)[:, None]).astype(np.int64)
+        at = (picks[None, :] % np.maximum(sought * 3 // 2, 1).astype(np.uint64)[:, None]).astype(np.int64)
         place = np.zeros(n, np.int64)
         sampled = np.zeros((n, samples), np.uint64)
         for step in range(int(at.max()) + 1):
@@ -217,7 +227,7 @@ def _keying(repeats: int, samples: int):
                 new[1:] |= x[order][1:] != x[order][:-1]
             batch = batch.take(pa.array(order[new]))
             rows, lengths = padded(batch["window"], _PAD)
-            keys = walk_keys(rows, lengths, repeats, samples)
+            keys = walk_keys(rows, lengths, repeats, samples, batch["n"].to_numpy())
             yield pa.record_batch(
                 {
                     "doc_id": batch["doc_id"],

@@ -169,6 +169,28 @@ def test_leaks_equal_brute_force(spark, documents, given, odd_rows):
     assert exact <= set(got)
 
 
+@pytest.mark.parametrize("place", ["first", "last", "cut off"])
+def test_leaks_at_the_edges_of_a_document(spark, documents, place):
+    rng = random.Random(place)
+    items, rows = [], []
+    for n in range(120):
+        words = [f"w{rng.randrange(10**6)}" for _ in range((20, 40, 60)[n % 3])]
+        items.append((n, " ".join(words)))
+        edits = allowed_edits(len(words), 80)
+        if place == "cut off":
+            words = words[:-edits]
+        for _ in range(0 if place == "cut off" else edits):
+            at = rng.randrange(len(words))
+            kind = "d" if place == "whole" else rng.choice("sid")
+            words[at : at + (kind != "i")] = [] if kind == "d" else [f"zz{rng.randrange(10**6)}"]
+        other = [f"o{rng.randrange(10**6)}" for _ in range(50)]
+        before, after = other * (place in ("last", "cut off")), other * (place == "first")
+        rows.append((n, " ".join(before + words + after)))
+    df = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in benchmark_leaks(documents(rows), df).select("doc_id", "item_id").collect()}
+    assert len(got & {(n, n) for n in range(120)}) >= 0.97 * 120
+
+
 def test_seeds_leave_no_gap():
     for n in range(5, 200):
         size, places = seeds_of(n, 80)
