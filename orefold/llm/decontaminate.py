@@ -63,6 +63,7 @@ def walk_keys(
     repeats: int,
     samples: int,
     sought: np.ndarray | None = None,
+    start: np.ndarray | None = None,
 ) -> np.ndarray:
     """LSH keys (rows x repeats) of padded word sequences.
 
@@ -73,7 +74,8 @@ def walk_keys(
     of the words written.
 
     `sought` is the length of the item that a sequence may be: the steps sampled
-    depend on it, so that a sequence cut off by its text keeps them.
+    depend on it, so that a sequence cut off by its text keeps them. `start` is
+    below 0 where words are missing in front.
     """
     n = len(rows)
     sought = lengths if sought is None else sought
@@ -85,10 +87,11 @@ def walk_keys(
         picks = mix(np.arange(1, samples + 1, dtype=np.uint64) + np.uint64(1000 * r))
         # A walk needs about twice its sequence's length; sample inside that.
         at = (picks[None, :] % np.maximum(sought * 3 // 2, 1).astype(np.uint64)[:, None]).astype(np.int64)
-        place = np.zeros(n, np.int64)
+        place = np.zeros(n, np.int64) if start is None else start.astype(np.int64)
         sampled = np.zeros((n, samples), np.uint64)
         for step in range(int(at.max()) + 1):
-            here = np.where(place < lengths, rows[each, np.minimum(place, rows.shape[1] - 1)], _NEVER)
+            inside = (place >= 0) & (place < lengths)
+            here = np.where(inside, rows[each, np.clip(place, 0, rows.shape[1] - 1)], _NEVER)
             for s in range(samples):
                 hit = at[:, s] == step
                 sampled[hit, s] = here[hit]
@@ -219,7 +222,7 @@ def _keying(repeats: int, samples: int):
             if not len(batch):
                 continue
             # Hits of one alignment follow each other and give the same window.
-            ids = [batch[c].to_numpy() for c in ("doc_id", "at", "n")]
+            ids = [batch[c].to_numpy() for c in ("doc_id", "tie", "begin", "n")]
             order = np.lexsort(ids[::-1])
             new = np.zeros(len(order), bool)
             new[:1] = True
@@ -227,10 +230,11 @@ def _keying(repeats: int, samples: int):
                 new[1:] |= x[order][1:] != x[order][:-1]
             batch = batch.take(pa.array(order[new]))
             rows, lengths = padded(batch["window"], _PAD)
-            keys = walk_keys(rows, lengths, repeats, samples, batch["n"].to_numpy())
+            keys = walk_keys(rows, lengths, repeats, samples, batch["n"].to_numpy(), np.minimum(batch["start"].to_numpy(), 0))
             yield pa.record_batch(
                 {
                     "doc_id": batch["doc_id"],
+                    "tie": batch["tie"],
                     "at": batch["at"],
                     "around": batch["around"],
                     "keys": _list(keys.ravel(), np.full(len(keys), repeats)),
@@ -324,27 +328,36 @@ def benchmark_leaks(
     seeds = items.select(
         "n", F.explode(F.arrays_zip(F.col("seeds").alias("gram"), F.col("places").alias("place"))).alias("s")
     ).select("n", F.col("s.gram").alias("gram"), F.col("s.place").alias("place")).distinct()
+    # Texts that share an id are told apart by the words of the stretch.
     hits = stretches.select(
-        "doc_id", "first", "words",
+        "doc_id", F.xxhash64("words").alias("tie"), "first", "words",
         F.explode(F.arrays_zip(F.col("grams").alias("gram"), F.col("places").alias("at"))).alias("h"),
-    ).select("doc_id", "first", "words", F.col("h.gram").alias("gram"), F.col("h.at").alias("hit"))
+    ).select("doc_id", "tie", "first", "words", F.col("h.gram").alias("gram"), F.col("h.at").alias("hit"))
     slack = F.floor(F.col("n") * (100 - percent) / 100).cast("int")
-    begin = F.greatest(F.col("hit") - F.col("place"), F.lit(0)).cast("int")
-    low = F.greatest(begin - slack, F.lit(0)).cast("int")
-    windows = hits.join(seeds, "gram").select(
+    # An item that would begin before its document does is tried at both places.
+    begin = (F.col("hit") - F.col("place")).cast("int")
+    begins = F.array_distinct(F.array(begin, F.greatest(begin, F.lit(0))))
+    start = F.col("start")
+    low = F.greatest(start - slack, F.lit(0)).cast("int")
+    windows = hits.join(seeds, "gram").select("*", F.explode(begins).alias("start")).select(
         "doc_id",
+        "tie",
+        (F.col("first") + start).alias("begin"),
+        "start",
         (F.col("first") + low).alias("at"),
         "n",
-        F.slice("words", begin + 1, F.col("n").cast("int")).alias("window"),
+        F.slice(
+            "words", F.greatest(start, F.lit(0)) + 1, (F.col("n") + F.least(start, F.lit(0))).cast("int")
+        ).alias("window"),
         F.slice("words", low + 1, (F.col("n") + slack * 2).cast("int")).alias("around"),
     )
     keyed = windows.mapInArrow(
-        _keying(repeats, samples), "doc_id long, at long, around array<long>, keys array<long>"
+        _keying(repeats, samples), "doc_id long, tie long, at long, around array<long>, keys array<long>"
     )
     candidates = (
-        keyed.select("doc_id", "at", "around", F.explode("keys").alias("key"))
+        keyed.select("doc_id", "tie", "at", "around", F.explode("keys").alias("key"))
         .join(items.select("item_id", F.explode("keys").alias("key")), "key")
-        .groupBy("doc_id", "at", "item_id")
+        .groupBy("doc_id", "tie", "at", "item_id")
         .agg(F.max(F.struct(F.size("around").alias("n"), "around")).alias("widest"))
         .select("doc_id", "at", "item_id", "widest.around")
         .join(items.select("item_id", "words"), "item_id")

@@ -169,7 +169,7 @@ def test_leaks_equal_brute_force(spark, documents, given, odd_rows):
     assert exact <= set(got)
 
 
-@pytest.mark.parametrize("place", ["first", "last", "cut off"])
+@pytest.mark.parametrize("place", ["first", "last", "cut off", "whole"])
 def test_leaks_at_the_edges_of_a_document(spark, documents, place):
     rng = random.Random(place)
     items, rows = [], []
