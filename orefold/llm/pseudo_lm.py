@@ -24,11 +24,12 @@ _SCORE_BATCH = 1 << 15
 _DISTINCT = 1 << 20  # distinct words a task holds before it passes counts on
 _SCALE = 2.0**24
 _BLOCK = 1 << 13
+_FINE = 1e8
 
 
 @dataclass
 class Vocabulary:
-    """Ids by frequency; the words beyond the most frequent share buckets."""
+    """Ids by frequency; the words beyond the most frequent share buckets by their hash."""
 
     hashes: np.ndarray
     ids: np.ndarray
@@ -244,6 +245,38 @@ def _adding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _rare(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of each text, text by text, and how often they occur in it."""
+    order = np.lexsort((hashes, text))
+    hashes, text = hashes[order], text[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
+    at = np.flatnonzero(new)
+    return hashes[at], text[at], np.diff(np.append(at, len(hashes)))
+
+
+def _inside(places: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """row, inside: sum of log P(word | bucket) over `places` (row, word, times).
+
+    One count more than a bucket holds is left to words that were not counted.
+    """
+    known = counts.sparkSession.createDataFrame([(w,) for w in vocabulary.hashes.view(np.int64).tolist()], "word long")
+    # Unsigned hashes modulo a power of two.
+    bucket = F.col("word").bitwiseAND(F.lit(_BUCKETS - 1)).alias("bucket")
+    rare = counts.join(F.broadcast(known), "word", "left_anti")
+    totals = materialize(rare.groupBy(bucket).agg(F.sum("n").alias("total")), "lm-buckets")
+    share = F.log(F.coalesce(F.col("n"), F.lit(1)) / (F.coalesce(F.col("total"), F.lit(0)) + 1))
+    # Integers, so that a sum does not depend on the order of its terms.
+    part = F.round(F.col("times") * share * _FINE).cast("long")
+    return (
+        places.join(rare, "word", "left")
+        .select("row", "times", "n", bucket)
+        .join(F.broadcast(totals), "bucket", "left")
+        .groupBy("row")
+        .agg((F.sum(part) / _FINE).alias("inside"))
+    )
+
+
 def _scoring(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, flat = shared.value
@@ -252,24 +285,38 @@ def _scoring(shared):
             data, offsets = text_buffers(batch["text"])
             for first, last in chunks(offsets):
                 tokens = words(data, offsets, first, last)
-                ids = vocabulary(tokens.hashes(lower=True))
+                hashes = tokens.hashes(lower=True)
+                ids = vocabulary(hashes)
                 each = np.zeros(len(ids))
                 for a in range(0, len(ids), _SCORE_BATCH):
                     at = np.arange(a, min(a + _SCORE_BATCH, len(ids)))
                     each[at] = network.log_probabilities(_contexts(ids, tokens.text, at), ids[at])
                 total = np.bincount(tokens.text, each, minlength=last - first)
+                rare, text, times = _rare(hashes[ids >= _KNOWN], tokens.text[ids >= _KNOWN])
+                limits = np.searchsorted(text, np.arange(last - first + 1)).astype(np.int32)
                 yield pa.record_batch(
                     {
+                        "row": batch["row"].slice(first, last - first),
                         "doc_id": batch["doc_id"].slice(first, last - first),
                         "n_words": pa.array(tokens.counts.astype(np.int64)),
                         "log_likelihood": pa.array(total),
+                        "rare": pa.ListArray.from_arrays(pa.array(limits), pa.array(rare.view(np.int64))),
+                        "times": pa.ListArray.from_arrays(pa.array(limits), pa.array(times.astype(np.int32))),
                     }
                 )
 
     return score
 
 
-def train_network(docs: DataFrame, *, rounds: int = 2, percent: int = 15, rate: float = 0.1):
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word, n: how often each word occurs in all `docs` (text), by the hash of the word."""
+    counts = docs.mapInArrow(_counting, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return materialize(counts, "lm-words")
+
+
+def train_network(
+    docs: DataFrame, *, rounds: int = 2, percent: int = 15, rate: float = 0.1, counts: DataFrame | None = None
+):
     """Vocabulary and weights learnt from all `docs` (text).
 
     Words are counted over all documents; the most frequent get ids. In each
@@ -280,8 +327,7 @@ def train_network(docs: DataFrame, *, rounds: int = 2, percent: int = 15, rate:
     block of weights.
     """
     spark = docs.sparkSession
-    counts = docs.mapInArrow(_counting, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = materialize(counts, "lm-words")
+    counts = word_counts(docs) if counts is None else counts
     top = counts.orderBy(F.desc("n"), "word").limit(_KNOWN).toPandas()
     vocabulary = Vocabulary.of(top["word"].to_numpy(np.int64).view(np.uint64))
     frequency = np.zeros(_PAD)
@@ -310,17 +356,33 @@ def pseudo_likelihood(
     `log_likelihood` sums the log probability of every word of the whole text
     given its neighbours on both sides, under a network trained on all
     documents (`train_network`); `per_word` is its mean. ASCII case is ignored.
+    The network predicts the 3584 most frequent words and 512 buckets of all
+    others; a word of a bucket takes its share of the bucket's probability by
+    its count, so that every distinct word has a probability of its own.
 
     Null and word-free texts have no words, log_likelihood 0 and null per_word.
     Repeated rows get equal scores; an empty table gives none; other columns are
     not looked at. Reruns over the same files and splits train the same network.
     """
     given = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(
-        train_network(given.select("text"), rounds=rounds, percent=percent)
+    counts = word_counts(given.select("text"))
+    model = train_network(given.select("text"), rounds=rounds, percent=percent, counts=counts)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    scored = materialize(
+        given.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+            _scoring(shared),
+            "row long, doc_id long, n_words long, log_likelihood double, rare array<long>, times array<int>",
+        ),
+        "lm-scores",
+    )
+    places = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
+        "row", F.col("r.rare").alias("word"), F.col("r.times").alias("times")
+    )
+    inside = _inside(places, counts, model[0])
+    summed = scored.drop("rare", "times").join(inside, "row", "left").withColumn(
+        "log_likelihood", F.col("log_likelihood") + F.coalesce(F.col("inside"), F.lit(0.0))
     )
-    scored = given.mapInArrow(_scoring(shared), "doc_id long, n_words long, log_likelihood double")
-    return scored.select(
+    return summed.select(
         "doc_id",
         "n_words",
         F.round("log_likelihood", 4).alias("log_likelihood"),

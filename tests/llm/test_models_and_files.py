@@ -127,6 +127,22 @@ def test_scores_of_odd_rows(spark, documents, given, odd_rows):
     assert contract.queries()["op6_pseudo_likelihood"](spark, SMALL).count() == len(given)
 
 
+def test_words_of_a_bucket_share_its_probability(documents):
+    names = [f"w{i}" for i in range(6000)]
+    hashes = words(*text_buffers(pa.array(names)), 0, len(names)).hashes(lower=True)
+    rare = names[3600:]
+    buckets = dict(zip(names, (hashes % np.uint64(512)).tolist()))
+    first = rare[0]
+    second = next(w for w in rare[1:] if buckets[w] == buckets[first])
+    # Rows 0 to 5999 are one word each; `second` occurs twice, `first` once.
+    rows = list(enumerate(names)) + [(6000, second), (6001, " ".join(names[:3600] * 4))]
+    got = {r["doc_id"]: r["log_likelihood"] for r in pseudo_lm.pseudo_likelihood(documents(rows)).collect()}
+    at = {w: i for i, w in enumerate(names)}
+    assert abs(got[at[second]] - got[at[first]] - np.log(2)) < 2e-4
+    assert got[6000] == got[at[second]]
+    assert 0.5 < sum(np.exp(got[i]) for i in range(6000)) <= 1
+
+
 # --- pipeline ---------------------------------------------------------------
 
 
