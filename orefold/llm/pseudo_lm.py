@@ -191,6 +191,12 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield merged()
 
 
+def _masked(hashes: np.ndarray, place: np.ndarray, percent: int, round_: int) -> np.ndarray:
+    """Whether each place is a target of the round; each round goes on where the last one stopped."""
+    part = mix(hashes + place * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(100)
+    return (part + np.uint64(100 - round_ * percent % 100)) % np.uint64(100) < percent
+
+
 def _training(shared, rate: float, percent: int, round_: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, flat = shared.value
@@ -203,7 +209,7 @@ def _training(shared, rate: float, percent: int, round_: int):
                 hashes = tokens.hashes(lower=True)
                 ids = vocabulary(hashes)
                 place = np.arange(len(ids), dtype=np.uint64)
-                masked = np.flatnonzero(mix(hashes + place * np.uint64(0x9E3779B97F4A7C15) + np.uint64(round_)) % np.uint64(100) < percent)
+                masked = np.flatnonzero(_masked(hashes, place, percent, round_))
                 for a in range(0, len(masked), _BATCH):
                     at = masked[a : a + _BATCH]
                     network.train(_contexts(ids, tokens.text, at), ids[at], rate)
@@ -315,14 +321,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def train_network(
-    docs: DataFrame, *, rounds: int = 2, percent: int = 15, rate: float = 0.1, counts: DataFrame | None = None
+    docs: DataFrame, *, rounds: int = 2, percent: int = 50, rate: float = 0.1, counts: DataFrame | None = None
 ):
     """Vocabulary and weights learnt from all `docs` (text).
 
     Words are counted over all documents; the most frequent get ids. In each
     round every task goes through its documents from the weights so far, masks
-    `percent` % of the words (other ones each round) and predicts them from both
-    sides; the weights of all tasks are averaged by the number of their steps.
+    `percent` % of the words (other ones each round, so that 100 / `percent`
+    rounds cover every word once) and predicts them from both sides; the weights of all tasks are averaged by the number of their steps.
     What a task sends back is of fixed size, and partial sums are merged by
     block of weights.
     """
@@ -349,7 +355,7 @@ def train_network(
 
 
 def pseudo_likelihood(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", rounds: int = 2, percent: int = 15
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", rounds: int = 2, percent: int = 50
 ) -> DataFrame:
     """doc_id, n_words, log_likelihood, per_word of every row.
 

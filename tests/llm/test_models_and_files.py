@@ -1,5 +1,6 @@
 """Token files, the language model and the pipeline."""
 
+import inspect
 import random
 import zlib
 
@@ -127,6 +128,16 @@ def test_scores_of_odd_rows(spark, documents, given, odd_rows):
     assert contract.queries()["op6_pseudo_likelihood"](spark, SMALL).count() == len(given)
 
 
+def test_the_rounds_mask_every_word():
+    hashes = np.random.default_rng(3).integers(0, 2**63, 5000).astype(np.uint64)
+    place = np.arange(5000, dtype=np.uint64)
+    for percent, rounds in ((50, 2), (25, 4), (20, 5)):
+        times = sum(pseudo_lm._masked(hashes, place, percent, r).astype(int) for r in range(rounds))
+        assert (times == 1).all()
+    defaults = inspect.signature(pseudo_lm.pseudo_likelihood).parameters
+    assert defaults["rounds"].default * defaults["percent"].default >= 100
+
+
 def test_words_of_a_bucket_share_its_probability(documents):
     names = [f"w{i}" for i in range(6000)]
     hashes = words(*text_buffers(pa.array(names)), 0, len(names)).hashes(lower=True)
