@@ -106,9 +106,82 @@ SELECT h.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
 FROM h LEFT JOIN t ON h.doc_id = t.doc_id GROUP BY h.doc_id
 """
 
+_CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                             lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295)"""
+
+# One row per conversation and prefix length; nodes are the distinct prefixes.
+OP11 = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+m AS (SELECT conv_id, {_CRC32} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT m.conv_id, 0 AS part, t.i, t.role, t.text FROM m JOIN t ON t.conv_id = m.conv_id - m.conv_id % 100 AND t.i < m.h
+  UNION ALL
+  SELECT m.conv_id, 1, t.i, t.role, t.text FROM m JOIN t ON t.conv_id = m.conv_id AND t.i >= m.h),
+c AS (
+  SELECT m.conv_id, coalesce(list(struct_pack(role := r.role, text := r.text) ORDER BY part, i)
+                             FILTER (WHERE r.role IS NOT NULL), []) AS turns
+  FROM m LEFT JOIN r ON m.conv_id = r.conv_id GROUP BY m.conv_id),
+p AS (SELECT conv_id, turns[1:d] AS prefix, d, d = len(turns) AS over
+      FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM c)),
+n AS MATERIALIZED (
+  SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         CASE WHEN d = 0 THEN 0 ELSE length(any_value(prefix[d].text)) END AS size,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE over), '')) AS ends_sha256
+  FROM p GROUP BY prefix, d),
+k AS MATERIALIZED (
+  SELECT n.prefix, n.d, n.n_convs, n.size, count(x.d) AS n_children
+  FROM n LEFT JOIN n x ON x.d = n.d + 1 AND x.prefix[1:x.d - 1] = n.prefix GROUP BY ALL),
+s AS (
+  SELECT prefix[1:a] AS prefix, a AS d, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+         sum((n_convs - 1) * size)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM k) GROUP BY ALL)
+SELECT n.conv_id, n.d::BIGINT AS depth, o.conv_id AS parent_conv_id, n.n_convs, k.n_children, s.n_leaves, s.saved_tokens,
+       n.ends_sha256
+FROM n JOIN k ON n.d = k.d AND n.prefix = k.prefix JOIN s ON n.d = s.d AND n.prefix = s.prefix
+       LEFT JOIN n o ON o.d = n.d - 1 AND o.prefix = n.prefix[1:n.d - 1]
+"""
+
+OP12 = """
+SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN latest END AS refers_to
+FROM (SELECT *, strlen(coalesce(html, '')) >= 1000 AND page_id IS DISTINCT FROM latest AS again
+      FROM (SELECT *, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS latest FROM pages))
+"""
+
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+OP13 = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d WHERE len(terms) > 0),
+f AS (SELECT doc_id, n, term, count(*) AS tf
+      FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+      FROM f, s GROUP BY term, n_docs),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+r AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN f USING (term), s GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM r WHERE score > 0
+QUALIFY rank <= 50
+"""
+
 ORACLE: dict[str, str] = {
     "op2_superminhash": OP2,
     "op3_perspectives": OP3,
     "op5_line_runs": OP5,
     "op10_mix_sources": OP10,
+    "op11_prefix_trie": OP11,
+    "op12_warc": OP12,
+    "op13_lexical_search": OP13,
 }

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from .chat import perspectives
 from .decontaminate import benchmark_leaks
+from .lexical import lexical_search
 from .line_runs import repeated_line_runs
 from .mixing import mix_sources
 from .near_dup import near_duplicates
 from .pii import BASE_KINDS, personal_data, written
+from .prefix_trie import keyed_turns, rebuilt_turns, shard_nodes, trie
 from .pseudo_lm import pseudo_likelihood
 from .quality import BASE_COLUMNS, quality_rules
 from .repeats import repeated_bytes
 from .token_files import token_files
+from .warc import warc_records
 from .words import word_count
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -79,6 +82,21 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, members = rebuilt_turns(keyed_turns(table(spark, sf_dir, "conversations")))
+    return trie(shard_nodes(turns, members)).drop("path")
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_records(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_superminhash": op2_superminhash,
@@ -90,4 +108,7 @@ QUERIES: dict[str, Query] = {
     "op8_repeated_bytes": op8_repeated_bytes,
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_mix_sources": op10_mix_sources,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_warc": op12_warc,
+    "op13_lexical_search": op13_lexical_search,
 }
