@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -161,3 +162,83 @@ def leaks(rows, items, percent=80, min_words=5):
 
 def binomial_at_most(k, n, p):
     return sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+
+
+def dialogues(rows):
+    """conv_id -> its turns (role, text) in order; equal turn numbers go by digest, as stated."""
+    found = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()[:16]
+            found[conv_id].append(((turn is not None, turn or 0, digest), role, text))
+    return {i: [t[1:] for t in sorted(own, key=lambda t: t[0])] for i, own in found.items()}
+
+
+def rebuilt(own):
+    def taken(i):
+        return zlib.crc32(str(i).encode()) % 6
+
+    return {i: own.get(i - int(math.fmod(i, 100)), [])[: taken(i)] + turns[taken(i) :] for i, turns in own.items()}
+
+
+def trie(own):
+    """Rows (conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256)."""
+    members = defaultdict(list)
+    for i, turns in own.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(i)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for path, ids in members.items():
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += path not in children
+            saved[path[:d]] += (len(ids) - 1) * len(path[-1][1]) if path else 0
+    out = []
+    for path, ids in members.items():
+        ends = ",".join(str(i) for i in sorted(ids) if len(own[i]) == len(path))
+        parent = min(members[path[:-1]]) if path else None
+        out.append((min(ids), len(path), parent, len(ids), children[path], leaves[path], saved[path], sha(ends.encode())))
+    return out
+
+
+def archived(rows, least=1000):
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of (page_id, html)."""
+    rows = [(i, (t or "").encode()) for i, t in rows]
+    latest = {}
+    for i, payload in rows:
+        latest[payload] = max((x for x in (i, latest.get(payload)) if x is not None), default=None)
+    out = []
+    for i, payload in rows:
+        again = len(payload) >= least and i != latest[payload]
+        kind = "revisit" if again else "response"
+        out.append((i, len(payload), hashlib.sha1(payload).hexdigest(), kind, latest[payload] if again else None))
+    return out
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranked(docs, items, k):
+    """(item_id, rank, doc_id, score) by scoring every document for every item."""
+    counts = [(i, Counter(TERM.findall((t or "").translate(_SMALL)))) for i, t in docs]
+    n_docs, n_terms = sum(bool(c) for _, c in counts), sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    wanted = defaultdict(set)
+    for i, t in items:
+        wanted[i] |= set(TERM.findall((t or "").translate(_SMALL)))
+    out = []
+    for item, terms in wanted.items():
+        scored = []
+        for i, c in counts:
+            m = 100 - 50 + (50 * sum(c.values()) * n_docs) // max(n_terms, 1)
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 20 * m))
+                for t in terms
+                if c[t]
+            )
+            if score > 0:
+                scored.append((-score, i is None, i or 0))
+        best = sorted(scored)[:k]
+        out += [(item, rank + 1, None if null else i, -score) for rank, (score, null, i) in enumerate(best)]
+    return out
