@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import round_mean
-from ..operators import top_k
+from ..functions.exact import mean_parts, sum_of_parts, sum_parts, with_limbs
+from ..operators import Measure, summarize, top_k
 
 
 def distinct_kpi(gold: DataFrame, column: str, name: str) -> DataFrame:
@@ -20,7 +21,7 @@ def distinct_kpi(gold: DataFrame, column: str, name: str) -> DataFrame:
 
 def mean_kpi(gold: DataFrame, column: str, name: str, digits: int = 2) -> DataFrame:
     """Unweighted mean over the rows of the gold table: a mean of group means."""
-    return gold.agg(round_mean(F.avg(column), digits).alias(name))
+    return summarize(gold, [], [Measure(name, "mean", column, digits)])
 
 
 def bars(gold: DataFrame, label: str, value: str, color: str) -> DataFrame:
@@ -46,12 +47,24 @@ def scatter(gold: DataFrame, x: str, y: str, size: str, tooltip: str) -> DataFra
 
 def matrix(gold: DataFrame, row: str, weight: str, values: Mapping[str, int]) -> DataFrame:
     """Group means rolled up per row, each group counting by its `weight`."""
-    rolled = []
-    for name, digits in values.items():
-        weighed = F.when(F.col(name).isNotNull(), F.col(weight))
-        mean = F.try_divide(F.sum(F.col(name) * weighed), F.sum(weighed))
-        rolled.append(round_mean(mean, digits).alias(name))
-    return gold.groupBy(row).agg(*rolled)
+    # Exact sums of value times weight and of weight: a mean over mean-parts each.
+    products = {f"_product:{name}": F.col(name) * F.col(weight) for name in values}
+    known = {f"_weight:{name}": F.when(F.col(name).isNotNull(), F.col(weight).cast("bigint")) for name in values}
+    weighed = gold.withColumns({**products, **known})
+    cut = with_limbs(weighed, products)
+    parts = [
+        part
+        for name in values
+        for part in (*mean_parts(f"_product:{name}", "double"), *sum_parts(f"_weight:{name}", "bigint"))
+    ]
+    rolled = cut.groupBy(row).agg(*[part.over_rows().alias(part.name) for part in parts])
+    sums = rolled.withColumns(
+        {
+            f"_mean:{name}": F.try_divide(sum_of_parts(f"_product:{name}", "double"), sum_of_parts(f"_weight:{name}", "bigint"))
+            for name in values
+        }
+    )
+    return sums.select(row, *[round_mean(F.col(f"`_mean:{name}`"), digits).alias(name) for name, digits in values.items()])
 
 
 def treemap(gold: DataFrame, group: str, value: str) -> DataFrame:
