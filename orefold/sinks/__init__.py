@@ -1,5 +1,33 @@
 """Publishing of finished tables."""
 
-from .publish import Published, ensure_layer, publish, publish_all
+from .publish import (
+    Layout,
+    Published,
+    Staged,
+    commit,
+    discard,
+    ensure_layer,
+    publish,
+    publish_all,
+    read_commit,
+    resolve,
+    settle,
+    stage,
+    stage_all,
+)
 
-__all__ = ["Published", "ensure_layer", "publish", "publish_all"]
+__all__ = [
+    "Layout",
+    "Published",
+    "Staged",
+    "commit",
+    "discard",
+    "ensure_layer",
+    "publish",
+    "publish_all",
+    "read_commit",
+    "resolve",
+    "settle",
+    "stage",
+    "stage_all",
+]

@@ -1,21 +1,32 @@
-"""Full-refresh publishing: write a new version, then point the name at it."""
+"""Full-refresh publishing: write new versions, then commit them together.
+
+Each layer has one commit record, a view that says which stored version stands
+behind each name. Replacing that view is the commit, of one table or of many:
+`read_table` and `read_layer` resolve names through it, so they see all tables
+of one commit or none. The names are views as well, for plain SQL; they move one
+by one after the commit, and `settle` moves those that a lost driver left behind.
+"""
 
 from __future__ import annotations
 
 import re
+import threading
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Formats whose own overwrite is atomic and may read the table it replaces.
 _TRANSACTIONAL = ("delta",)
 
+COMMIT = "_commit"
+_committing = threading.Lock()
+
 
 @dataclass(frozen=True)
 class Published:
@@ -24,6 +35,32 @@ class Published:
     rows: int
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How a stored table is laid out.
+
+    `partition_by` columns become folders, for filters that name whole values.
+    With `buckets` the rows are dealt by `bucket_by`, so that joins and groups
+    on these columns need no shuffle; one bucket is one file, so use it for
+    columns without hot values. `sort_by` sorts inside a file.
+    """
+
+    partition_by: Sequence[str] = ()
+    bucket_by: Sequence[str] = ()
+    buckets: int = 0
+    sort_by: Sequence[str] = ()
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A stored version that no name shows yet."""
+
+    table: str
+    version: str
+    rows: int
+    fmt: str = "parquet"
+
+
 def _quoted(name: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
@@ -46,6 +83,7 @@ def publish(
     location: str | None = None,
     fmt: str = "parquet",
     keep: int = 1,
+    layout: Layout | None = None,
     before_swap: Callable[[], None] | None = None,
 ) -> Published:
     """Replace `layer.table`, data and schema, with `df`.
@@ -54,44 +92,134 @@ def publish(
     name, a view, move to it, so readers see the old or the new table and `df`
     may read the very table it replaces. If `before_swap` raises, the new
     version is dropped and the name stays where it was. The `keep` versions
-    before the new one remain for readers that are still running. Formats with
-    an atomic overwrite of their own keep versions themselves (`keep` does not
+    before the new one remain for readers that are still running. Without a
+    `layout` the new version has that of the one before. Formats with an atomic
+    overwrite of their own keep versions themselves (`keep` and `layout` do not
     apply); with a gate their rows are written aside first.
 
     The row count is observed in the last stage of the write itself.
     """
     spark = df.sparkSession
+    if fmt in _TRANSACTIONAL and before_swap is None:
+        ensure_layer(spark, layer, location)
+        seen = Observation()
+        _overwrite(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{layer}.{table}", fmt)
+        return Published(f"{layer}.{table}", f"{layer}.{table}", seen.get["rows"])
+    staged = stage(df, layer, table, location=location, fmt=fmt, layout=layout)
+    if before_swap is not None:
+        try:
+            before_swap()
+        except Exception:
+            discard(spark, [staged])
+            raise
+    return commit(spark, layer, [staged], keep=keep)[table]
+
+
+def stage(
+    df: DataFrame,
+    layer: str,
+    table: str,
+    *,
+    location: str | None = None,
+    fmt: str = "parquet",
+    layout: Layout | None = None,
+) -> Staged:
+    """Store `df` as a new version of `layer.table` without showing it."""
+    spark = df.sparkSession
     ensure_layer(spark, layer, location)
-    name = f"{layer}.{table}"
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if layout is None:
+        layout = layout_of(spark, layer, table, df.columns)
+    stored_as = "parquet" if fmt in _TRANSACTIONAL else fmt
+    version = write_version(counted, layer, table, fmt=stored_as, layout=layout)
+    return Staged(table, version, seen.get["rows"], fmt)
+
+
+def discard(spark: SparkSession, staged: Sequence[Staged]) -> None:
+    for one in staged:
+        drop_version(spark, one.version)
+
+
+def commit(spark: SparkSession, layer: str, staged: Sequence[Staged], keep: int = 1) -> dict[str, Published]:
+    """Show all staged versions of a layer at once.
 
-    if fmt in _TRANSACTIONAL:
-        if before_swap is None:
-            _overwrite(counted, name, fmt)
-        else:
-            # The format's own overwrite would show the rows before the gate
-            # has spoken, so they are stored aside first.
-            aside = write_version(counted, layer, table)
+    The commit record moves in one step; after it the views of the names
+    follow. If the record cannot be written, the staged versions go and all
+    stays as it was. A failure after it leaves views behind, but the commit
+    holds. One application commits to a layer at a time.
+
+    A table loaded by other means is set aside first, and its name is missing
+    until the commit. Formats with an overwrite of their own stand outside the
+    record: they are overwritten one after the other.
+    """
+    versioned = [one for one in staged if one.fmt not in _TRANSACTIONAL]
+    if versioned:
+        with _committing:
+            aside = {one.table: _set_loaded_table_aside(spark, layer, one.table) for one in versioned}
+            try:
+                record = {**read_commit(spark, layer), **{one.table: one.version for one in versioned}}
+                _write_commit(spark, layer, record)
+            except Exception:
+                for table, loaded in aside.items():
+                    if loaded:
+                        spark.sql(f"ALTER TABLE {_quoted(loaded)} RENAME TO {_quoted(f'{layer}.{table}')}")
+                discard(spark, staged)
+                raise
+            for one in versioned:
+                _point(spark, layer, one.table, one.version)
+                _drop_old_versions(spark, layer, one.table, one.version, keep)
+    done = {one.table: Published(f"{layer}.{one.table}", one.version, one.rows) for one in versioned}
+    for one in staged:
+        if one.fmt in _TRANSACTIONAL:
+            name = f"{layer}.{one.table}"
             try:
-                before_swap()
-                _overwrite(spark.table(_quoted(aside)), name, fmt)
+                _overwrite(spark.table(_quoted(one.version)), name, one.fmt)
             finally:
-                drop_version(spark, aside)
-        return Published(name, name, seen.get["rows"])
+                drop_version(spark, one.version)
+            done[one.table] = Published(name, name, one.rows)
+    return done
 
-    version = write_version(counted, layer, table, fmt=fmt)
-    if before_swap is not None:
-        try:
-            before_swap()
-        except Exception:
-            drop_version(spark, version)
-            raise
-    swap(spark, layer, table, version, keep=keep)
-    return Published(name, version, seen.get["rows"])
 
+def read_commit(spark: SparkSession, layer: str) -> dict[str, str]:
+    """The stored version behind each name of the layer; empty before the first commit."""
+    name = f"{layer}.{COMMIT}"
+    if not spark.catalog.tableExists(name):
+        return {}
+    return {row["table_name"]: row["version"] for row in spark.table(_quoted(name)).collect()}
 
-def write_version(df: DataFrame, layer: str, table: str, fmt: str = "parquet") -> str:
+
+def _write_commit(spark: SparkSession, layer: str, record: Mapping[str, str]) -> None:
+    rows = ", ".join(f"('{_escaped(table)}', '{_escaped(version)}')" for table, version in sorted(record.items()))
+    listed = f"SELECT * FROM VALUES {rows} AS t(table_name, version)"
+    spark.sql(f"CREATE OR REPLACE VIEW {_quoted(f'{layer}.{COMMIT}')} AS {listed}")
+
+
+def _point(spark: SparkSession, layer: str, table: str, version: str) -> None:
+    name = _quoted(f"{layer}.{table}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {_quoted(version)}")
+
+
+def settle(spark: SparkSession, layer: str) -> None:
+    """Point every view of the layer at its committed version, after a commit that was cut short."""
+    with _committing:
+        for table, version in read_commit(spark, layer).items():
+            if not _is_loaded_table(spark, f"{layer}.{table}"):
+                _point(spark, layer, table, version)
+
+
+def resolve(spark: SparkSession, name: str, record: Mapping[str, str] | None = None) -> str:
+    """The table to read for `layer.table`: the committed version, or the name itself."""
+    layer, _, table = name.rpartition(".")
+    if not layer or (record is None and table == COMMIT):
+        return name
+    version = (read_commit(spark, layer) if record is None else record).get(table)
+    return name if version is None or _is_loaded_table(spark, name) else version
+
+
+def write_version(
+    df: DataFrame, layer: str, table: str, fmt: str = "parquet", layout: Layout = Layout()
+) -> str:
     """Store `df` as a new version table of `layer.table`, without showing it.
 
     A failed write leaves neither a table nor its folder.
@@ -99,72 +227,90 @@ def write_version(df: DataFrame, layer: str, table: str, fmt: str = "parquet") -
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
     version = f"{layer}.{_version_prefix(table)}{stamp}_{uuid.uuid4().hex[:6]}"
     try:
-        df.write.format(fmt).saveAsTable(_quoted(version))
+        _laid_out(df, layout).format(fmt).saveAsTable(_quoted(version))
     except Exception:
         _remove_failed(df.sparkSession, layer, version)
         raise
     return version
 
 
-def swap(spark: SparkSession, layer: str, table: str, version: str, keep: int = 1) -> None:
-    """Point the name at `version`, then drop versions older than the last `keep`.
-
-    A table loaded by other means is set aside first; between that and the new
-    view the name does not exist for a moment. If the view cannot be made, the
-    loaded table gets its name back.
-    """
-    name = f"{layer}.{table}"
-    loaded = _set_loaded_table_aside(spark, layer, table)
-    try:
-        spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT * FROM {_quoted(version)}")
-    except Exception:
-        if loaded:
-            spark.sql(f"ALTER TABLE {_quoted(loaded)} RENAME TO {_quoted(name)}")
-        drop_version(spark, version)
-        raise
-    _drop_old_versions(spark, layer, table, version, keep)
+def _laid_out(df: DataFrame, layout: Layout) -> DataFrameWriter:
+    if layout.buckets:
+        # A task per bucket, so that a bucket is one file.
+        df = df.repartition(layout.buckets, *layout.bucket_by)
+    elif layout.partition_by:
+        # Few files per folder, and a hot value spread over several tasks.
+        df = df.hint("rebalance", *layout.partition_by)
+    writer = df.write.partitionBy(*layout.partition_by)
+    if layout.buckets:
+        writer = writer.bucketBy(layout.buckets, *layout.bucket_by)
+        return writer.sortBy(*layout.sort_by) if layout.sort_by else writer
+    return writer
+
+
+def layout_of(spark: SparkSession, layer: str, table: str, columns: Sequence[str]) -> Layout:
+    """The layout of the committed version, without what `columns` no longer has."""
+    version = read_commit(spark, layer).get(table)
+    if version is None or not spark.catalog.tableExists(version):
+        return Layout()
+    listed = spark.catalog.listColumns(_quoted(version))
+    partitions = [c.name for c in listed if c.isPartition and c.name in columns]
+    bucket_by = [c.name for c in listed if c.isBucket]
+    if not bucket_by or not set(bucket_by) <= set(columns):
+        return Layout(partitions)
+    said = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE EXTENDED {_quoted(version)}").collect()}
+    sort_by = re.findall(r"`([^`]+)`", said.get("Sort Columns", ""))
+    return Layout(partitions, bucket_by, int(said["Num Buckets"]), [c for c in sort_by if c in columns])
 
 
 def drop_version(spark: SparkSession, version: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_quoted(version)}")
 
 
-def publish_all(
-    frames: Mapping[str, DataFrame], layer: str, *, location: str | None = None, fmt: str = "parquet", keep: int = 1
-) -> dict[str, Published]:
-    """Replace several tables of a layer, all of them or none.
-
-    The versions are written side by side; names move only once all are
-    complete, and one failed write drops the others. Formats with an overwrite
-    of their own are replaced one after the other.
-    """
-    if fmt in _TRANSACTIONAL:
-        return {
-            table: publish(df, layer, table, location=location, fmt=fmt, keep=keep) for table, df in frames.items()
-        }
-    spark = next(iter(frames.values())).sparkSession if frames else None
-    if spark is None:
-        return {}
+def stage_all(
+    frames: Mapping[str, DataFrame],
+    layer: str,
+    *,
+    location: str | None = None,
+    fmt: str = "parquet",
+    layouts: Mapping[str, Layout] | None = None,
+) -> list[Staged]:
+    """Store several tables side by side; one failed write drops the others."""
+    if not frames:
+        return []
+    spark = next(iter(frames.values())).sparkSession
     ensure_layer(spark, layer, location)
-    seen = {table: Observation() for table in frames}
-    written: dict[str, str] = {}
+    known = layouts or {}
 
-    def write(table: str) -> None:
-        counted = frames[table].observe(seen[table], F.count(F.lit(1)).alias("rows"))
-        written[table] = write_version(counted, layer, table, fmt=fmt)
+    def write(table: str) -> Staged:
+        return stage(frames[table], layer, table, fmt=fmt, layout=known.get(table))
 
-    with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
         jobs = [pool.submit(inheritable_thread_target(spark)(write), table) for table in frames]
     failed = [job.exception() for job in jobs if job.exception()]
+    staged = [job.result() for job in jobs if not job.exception()]
     if failed:
-        for version in written.values():
-            drop_version(spark, version)
+        discard(spark, staged)
         raise failed[0]
-    for table in frames:
-        swap(spark, layer, table, written[table], keep=keep)
-    return {
-        table: Published(f"{layer}.{table}", written[table], seen[table].get["rows"]) for table in frames
-    }
+    return staged
+
+
+def publish_all(
+    frames: Mapping[str, DataFrame],
+    layer: str,
+    *,
+    location: str | None = None,
+    fmt: str = "parquet",
+    keep: int = 1,
+    layouts: Mapping[str, Layout] | None = None,
+) -> dict[str, Published]:
+    """Replace several tables of a layer, all of them or none, in one commit.
+
+    The versions are written side by side; names move only once all are
+    complete, and one failed write drops the others.
+    """
+    staged = stage_all(frames, layer, location=location, fmt=fmt, layouts=layouts)
+    return commit(staged and next(iter(frames.values())).sparkSession, layer, staged, keep=keep)
 
 
 def _overwrite(df: DataFrame, name: str, fmt: str) -> None:
@@ -191,9 +337,7 @@ def _set_loaded_table_aside(spark: SparkSession, layer: str, table: str) -> str
     Returns the name it has now; None if there was no such table.
     """
     name = f"{layer}.{table}"
-    if not spark.catalog.tableExists(name):
-        return None
-    if spark.catalog.getTable(name).tableType == "VIEW":
+    if not _is_loaded_table(spark, name):
         return None
     loaded = f"{layer}.{_version_prefix(table)}0_loaded"
     spark.sql(f"DROP TABLE IF EXISTS {_quoted(loaded)}")
@@ -201,6 +345,11 @@ def _set_loaded_table_aside(spark: SparkSession, layer: str, table: str) -> str
     return loaded
 
 
+def _is_loaded_table(spark: SparkSession, name: str) -> bool:
+    """Whether the name is a stored table, not a view of this module."""
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW"
+
+
 def _drop_old_versions(
     spark: SparkSession, layer: str, table: str, current: str, keep: int
 ) -> None:

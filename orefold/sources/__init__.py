@@ -12,6 +12,7 @@ from .readers import (
     read_csv_declared,
     read_csv_flagged,
     read_csv_strings,
+    read_layer,
     read_table,
 )
 
@@ -22,6 +23,7 @@ __all__ = [
     "read_csv_declared",
     "read_csv_flagged",
     "read_csv_strings",
+    "read_layer",
     "read_table",
     "with_bronze_audit",
     "with_gold_audit",

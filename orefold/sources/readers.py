@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..sinks import read_commit, resolve
+
 
 def read_csv_strings(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Headered CSV; column names come from the header, all values are strings.
@@ -70,5 +72,18 @@ def _strict(spark: SparkSession) -> DataFrameReader:
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A catalog table or published view by its one- to three-part name."""
-    return spark.table(name)
+    """A catalog table or published name of one to three parts.
+
+    A published name is read through the commit record of its layer.
+    """
+    return spark.table(resolve(spark, name))
+
+
+def read_layer(spark: SparkSession, layer: str, tables: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Published tables of a layer as one commit left them, by name.
+
+    The record is read once, so all frames belong together, whatever is
+    committed later.
+    """
+    record = read_commit(spark, layer)
+    return {table: spark.table(resolve(spark, f"{layer}.{table}", record)) for table in tables or record}

@@ -3,8 +3,8 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-from orefold.sinks import ensure_layer, publish, publish_all
-from orefold.sources import read_table
+from orefold.sinks import Layout, commit, discard, ensure_layer, publish, publish_all, read_commit, settle, stage, stage_all
+from orefold.sources import read_layer, read_table
 
 from .conftest import rows
 
@@ -174,3 +174,126 @@ def test_a_location_with_a_quote(spark, layer, tmp_path):
     name, _ = layer
     publish(spark.range(2), name, "t", location=str(tmp_path / "it's"))
     assert spark.table(f"{name}.t").count() == 2
+
+
+# --- one commit for several tables ------------------------------------------
+
+
+@pytest.fixture
+def failing_sql(spark, monkeypatch):
+    """Makes statements fail from the n-th on whose text has the given part."""
+    plain = type(spark).sql
+
+    def fail(part, after=0):
+        met = []
+
+        def sql(self, text, *args, **kwargs):
+            if part in text:
+                met.append(text)
+                if len(met) > after:
+                    raise RuntimeError("driver lost")
+            return plain(self, text, *args, **kwargs)
+
+        monkeypatch.setattr(type(spark), "sql", sql)
+
+    yield fail
+    monkeypatch.undo()
+
+
+def generation(spark, name):
+    return {table: df.first()["generation"] for table, df in read_layer(spark, name).items()}
+
+
+def put(spark, name, folder, n):
+    frames = {t: spark.range(3).withColumn("generation", F.lit(n)) for t in ("a", "b", "c")}
+    return publish_all(frames, name, location=folder)
+
+
+def test_a_driver_lost_between_two_views_leaves_one_generation(spark, layer, failing_sql, monkeypatch):
+    name, folder = layer
+    put(spark, name, folder, 1)
+    failing_sql("CREATE OR REPLACE VIEW `" + name + "`.`", after=2)  # the record and one view
+    with pytest.raises(RuntimeError, match="driver lost"):
+        put(spark, name, folder, 2)
+    monkeypatch.undo()
+    by_view = [spark.table(f"{name}.{t}").first()["generation"] for t in "abc"]
+    assert sorted(set(by_view)) == [1, 2]  # plain SQL sees a mixture
+    assert generation(spark, name) == {"a": 2, "b": 2, "c": 2}
+    assert [read_table(spark, f"{name}.{t}").first()["generation"] for t in "abc"] == [2, 2, 2]
+    settle(spark, name)
+    assert [spark.table(f"{name}.{t}").first()["generation"] for t in "abc"] == [2, 2, 2]
+
+
+def test_a_driver_lost_before_the_record_leaves_the_old_generation(spark, layer, failing_sql, monkeypatch):
+    name, folder = layer
+    put(spark, name, folder, 1)
+    before = read_commit(spark, name)
+    failing_sql("_commit")
+    with pytest.raises(RuntimeError, match="driver lost"):
+        put(spark, name, folder, 2)
+    monkeypatch.undo()
+    assert read_commit(spark, name) == before and generation(spark, name) == {"a": 1, "b": 1, "c": 1}
+    assert [len(versions(spark, name, t)) for t in "abc"] == [1, 1, 1]
+
+
+def test_frames_of_one_reading_belong_together(spark, layer):
+    name, folder = layer
+    put(spark, name, folder, 1)
+    held = read_layer(spark, name)
+    put(spark, name, folder, 2)
+    assert {df.first()["generation"] for df in held.values()} == {1}
+    assert set(read_layer(spark, name, ["a"])) == {"a"}
+    publish(spark.range(1).withColumn("generation", F.lit(3)), name, "b")
+    assert generation(spark, name) == {"a": 2, "b": 3, "c": 2}
+
+
+def test_staged_versions_show_nothing_and_can_go(spark, layer):
+    name, folder = layer
+    put(spark, name, folder, 1)
+    one = stage(spark.range(5), name, "a", location=folder)
+    others = stage_all({"b": spark.range(2), "d": spark.range(4)}, name)
+    assert one.rows == 5 and generation(spark, name) == {"a": 1, "b": 1, "c": 1}
+    discard(spark, [one])
+    commit(spark, name, others)
+    assert read_table(spark, f"{name}.a").count() == 3 and read_table(spark, f"{name}.d").count() == 4
+    assert len(versions(spark, name, "a")) == 1 and publish_all({}, name) == {}
+
+
+def test_a_loaded_table_stands_before_the_record(spark, layer):
+    name, folder = layer
+    publish(spark.range(2), name, "t", location=folder)
+    spark.sql(f"DROP VIEW {name}.t")
+    spark.range(9).write.saveAsTable(f"{name}.t")
+    assert read_table(spark, f"{name}.t").count() == 9
+    publish(read_table(spark, f"{name}.t"), name, "t")
+    assert read_table(spark, f"{name}.t").count() == 9 and len(read_commit(spark, name)) == 1
+
+
+# --- layout -----------------------------------------------------------------
+
+
+def test_layouts_stay_until_told_otherwise(spark, layer):
+    from .conftest import plan_of
+
+    name, folder = layer
+    df = spark.range(200).select("id", (F.col("id") % 4).alias("k"), (F.col("id") % 3).alias("p"))
+    layout = Layout(partition_by=["p"], bucket_by=["k"], buckets=4, sort_by=["id"])
+    publish(df, name, "t", location=folder, layout=layout)
+    for _ in range(2):
+        table = read_table(spark, f"{name}.t")
+        assert rows(table.select("id", "k", "p")) == rows(df)
+        assert "Exchange" not in plan_of(table.groupBy("k").count())
+        assert "PartitionFilters: [isnotnull(p" in plan_of(table.filter("p = 1"))
+        publish(df, name, "t")
+    publish(df.drop("k"), name, "t")
+    table = read_table(spark, f"{name}.t")
+    assert "PartitionFilters: [isnotnull(p" in plan_of(table.filter("p = 1")) and "Bucketed" not in plan_of(table)
+    publish(df, name, "t", layout=Layout())
+    assert "PartitionFilters" not in plan_of(read_table(spark, f"{name}.t").filter("p = 1"))
+
+
+def test_null_is_a_folder_of_its_own(spark, layer):
+    name, folder = layer
+    df = spark.createDataFrame([(1, None), (2, 5), (3, None)], "id int, p int")
+    publish(df, name, "t", location=folder, layout=Layout(partition_by=["p"]))
+    assert rows(read_table(spark, f"{name}.t")) == [(1, None), (2, 5), (3, None)]
