@@ -144,6 +144,8 @@ CAR_MARKET = Build(
         if name not in ("make", "model_year")
     },
     silver="automobiles_enriched",
+    silver_dimension="fuel_economy",
+    snapshot_columns=("model_year",),
     gold=(PRICE_BY_MAKE, BODY_STYLES, FUEL_RANKING, PRICE_SEGMENTS),
 )
 

@@ -8,18 +8,20 @@ from dataclasses import dataclass, field, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import (
     cast_columns,
-    count_rejects,
     dedupe,
+    dedupe_by_fingerprint,
     dimension_snapshot,
     enrich_left,
     normalize_text,
     reject_counters,
+    rejected_values,
     sentinel_to_null,
 )
-from ..sinks import Published, ensure_layer, publish, publish_all
+from ..sinks import Layout, Published, Staged, commit, discard, ensure_layer, publish, publish_all, stage
 from ..sources import (
     drop_bronze_audit,
     read_csv_declared,
@@ -29,7 +31,7 @@ from ..sources import (
     with_gold_audit,
     with_silver_audit,
 )
-from .gold import GoldTable, build_gold
+from .gold import GoldTable, build_gold_tables, group_finest
 
 
 @dataclass(frozen=True)
@@ -61,8 +63,15 @@ class Build:
     snapshot_rename: Mapping[str, str]
     silver: str
     gold: Sequence[GoldTable]
+    silver_dimension: str  # the typed dimension, all snapshots
     sentinel: str = "?"
     dimension_key: str | None = None  # its name in the dimension, if different
+    snapshot_columns: Sequence[str] = ()  # what snapshots are told apart by: folders of the typed dimension
+
+    @property
+    def rejects(self) -> str:
+        """The table of malformed values beside Silver."""
+        return f"{self.silver}_rejects"
 
 
 @dataclass(frozen=True)
@@ -83,6 +92,8 @@ class Report:
 
     bronze: dict[str, Published] = field(default_factory=dict)
     silver: Published | None = None
+    silver_dimension: Published | None = None
+    rejects: Published | None = None  # of a lenient run
     gold: dict[str, Published] = field(default_factory=dict)
 
     def removed_copies(self, build: Build) -> int:
@@ -109,15 +120,24 @@ def clean(df: DataFrame, raw: RawTable, sentinel: str, lenient: bool = False) ->
     )
 
 
-def clean_dimension(df: DataFrame, build: Build, lenient: bool = False) -> DataFrame:
-    """The dimension rows that facts join to."""
+def typed_dimension(df: DataFrame, build: Build, lenient: bool = False) -> DataFrame:
+    """The dimension with all its snapshots, typed, under its own column names."""
+    return clean(df, build.dimension, build.sentinel, lenient)
+
+
+def join_side(typed: DataFrame, build: Build) -> DataFrame:
+    """The rows of a typed dimension that facts join to, renamed for the join."""
     rename = dict(build.snapshot_rename)
     if build.dimension_key:
         rename[build.dimension_key] = build.key
-    typed = clean(df, build.dimension, build.sentinel, lenient)
     return dimension_snapshot(typed, build.snapshot(), rename, build.snapshot_drop)
 
 
+def clean_dimension(df: DataFrame, build: Build, lenient: bool = False) -> DataFrame:
+    """`join_side` straight from raw rows."""
+    return join_side(typed_dimension(df, build, lenient), build)
+
+
 def build_silver(
     facts: DataFrame,
     dimension: DataFrame,
@@ -126,16 +146,43 @@ def build_silver(
     lenient: bool = False,
     salt_buckets: int = 0,
     hot_limit: int = 100,
+    by_fingerprint: bool = False,
+) -> DataFrame:
+    """Clean, de-duplicate, derive and enrich; one lazy plan over Bronze.
+
+    `dimension` holds raw rows; what is typed already is taken as it is.
+    `by_fingerprint` finds copies by `dedupe_by_fingerprint`, which stores the
+    repeated fingerprints at once.
+    """
+    return _silver(
+        facts,
+        clean_dimension(dimension, build, lenient),
+        build,
+        lenient=lenient,
+        salt_buckets=salt_buckets,
+        hot_limit=hot_limit,
+        by_fingerprint=by_fingerprint,
+    )
+
+
+def _silver(
+    facts: DataFrame,
+    side: DataFrame,
+    build: Build,
+    *,
+    lenient: bool,
+    salt_buckets: int,
+    hot_limit: int,
+    by_fingerprint: bool,
 ) -> DataFrame:
-    """Clean, de-duplicate, derive and enrich; one lazy plan over Bronze."""
     return (
         facts.transform(clean, build.facts, build.sentinel, lenient)
-        .transform(dedupe)
+        .transform(dedupe_by_fingerprint if by_fingerprint else dedupe)
         .withColumns({name: make() for name, make in build.derived.items()})
         .transform(with_silver_audit)
         .transform(
             enrich_left,
-            clean_dimension(dimension, build, lenient),
+            side,
             build.key,
             salt_buckets=salt_buckets,
             hot_limit=hot_limit,
@@ -159,6 +206,10 @@ def _keys(facts: DataFrame, build: Build, lenient: bool) -> DataFrame:
     return clean(facts.select(key), only, build.sentinel, lenient)
 
 
+# Summing up by all gold keys first pays when it leaves at most this share of the rows.
+_FEW_GROUPS = 0.05
+
+
 def run_layers(
     spark: SparkSession,
     build: Build,
@@ -168,52 +219,74 @@ def run_layers(
     max_rejects: int | None = None,
     salt_buckets: int = 0,
     hot_limit: int = 100,
+    by_fingerprint: bool = False,
+    silver_layout: Layout | None = None,
 ) -> Report:
     """Publish Bronze, Silver and Gold; each layer reads the stored one before.
 
     `sources` maps the two Bronze names to raw frames: CSV scans or tables,
-    also the Bronze tables themselves. Casts are strict unless `max_rejects`
-    is given; then up to that many malformed values of facts and dimension
-    become null, and with more Silver is left as it was. The gold tables are
-    replaced together: if one cannot be written, all stay as they were.
+    also the Bronze tables themselves. Silver is the enriched facts and the
+    typed dimension, whose folders are its snapshots. Casts are strict unless
+    `max_rejects` is given; then up to that many malformed values of facts and
+    dimension become null and are listed in a table beside Silver, and with
+    more Silver is left as it was. The tables of a layer are replaced in one
+    commit: if one cannot be written, all stay as they were. The gold tables
+    are summed up together, from one scan of Silver.
     """
     report = Report()
     for layer in (layers.bronze, layers.silver, layers.gold):
         ensure_layer(spark, layer, layers.folder(layer))
 
-    def put(df: DataFrame, layer: str, name: str, gate=None) -> Published:
-        return publish(
-            df,
-            layer,
-            name,
-            location=layers.folder(layer),
-            fmt=layers.fmt,
-            before_swap=gate,
-        )
-
     def put_bronze(raw: RawTable) -> Published:
         source = sources[raw.name]
         known = "_source_file" in source.columns
         audited = with_bronze_audit(source, None if known else raw.source_file)
-        return put(audited, layers.bronze, raw.name)
+        return publish(audited, layers.bronze, raw.name, location=layers.folder(layers.bronze), fmt=layers.fmt)
 
     report.bronze = _side_by_side(put_bronze, (build.facts, build.dimension), spark)
 
     facts = read_table(spark, f"{layers.bronze}.{build.facts.name}")
     dimension = read_table(spark, f"{layers.bronze}.{build.dimension.name}")
-    lenient = max_rejects is not None
-    gate = None
-    if lenient:
-        facts, gate = _gated(facts, dimension, build, max_rejects)
-    silver = build_silver(
-        facts, dimension, build, lenient=lenient, salt_buckets=salt_buckets, hot_limit=hot_limit
-    )
-    report.silver = put(silver, layers.silver, build.silver, gate)
+    staged: list[Staged] = []
+    groups = Observation()
+    try:
+        counts = _Watch(max_rejects is not None)
+        lenient = counts.on
+
+        def put(df: DataFrame, name: str, layout: Layout | None = None) -> Staged:
+            done = stage(df, layers.silver, name, location=layers.folder(layers.silver), fmt=layers.fmt, layout=layout)
+            staged.append(done)
+            return done
+
+        typed = typed_dimension(counts.watched(dimension, build.dimension, build.sentinel), build, lenient)
+        by_snapshot = Layout(partition_by=build.snapshot_columns)
+        side = join_side(spark.table(put(typed, build.silver_dimension, by_snapshot).version), build)
+        silver = _silver(
+            counts.watched(facts, build.facts, build.sentinel),
+            side,
+            build,
+            lenient=lenient,
+            salt_buckets=salt_buckets,
+            hot_limit=hot_limit,
+            by_fingerprint=by_fingerprint,
+        )
+        finest = F.approx_count_distinct(group_finest(build.gold)).alias("groups")
+        put(silver.observe(groups, finest) if build.gold else silver, build.silver, silver_layout)
+        if lenient:
+            _check_rejects(spark, put, counts, facts, dimension, build, max_rejects)
+    except Exception:
+        discard(spark, staged)
+        raise
+    published = commit(spark, layers.silver, staged)
+    report.silver = published[build.silver]
+    report.silver_dimension = published[build.silver_dimension]
+    report.rejects = published.get(build.rejects)
 
     stored = read_table(spark, f"{layers.silver}.{build.silver}")
-
-    gold = _side_by_side(lambda table: with_gold_audit(build_gold(stored, table)), build.gold, spark)
-    report.gold = publish_all(gold, layers.gold, location=layers.folder(layers.gold), fmt=layers.fmt)
+    few = bool(build.gold) and groups.get["groups"] <= _FEW_GROUPS * report.silver.rows
+    gold = build_gold_tables(stored, build.gold, pre_aggregate=few)
+    audited = {name: with_gold_audit(df) for name, df in gold.items()}
+    report.gold = publish_all(audited, layers.gold, location=layers.folder(layers.gold), fmt=layers.fmt)
     return report
 
 
@@ -224,30 +297,56 @@ def _side_by_side(put: Callable, tables: Sequence, spark: SparkSession) -> dict:
         return dict(zip((t.name for t in tables), pool.map(carried, tables)))
 
 
-def _gated(
-    facts: DataFrame, dimension: DataFrame, build: Build, max_rejects: int
-) -> tuple[DataFrame, Callable[[], None]]:
-    """Facts whose malformed values are counted by the job that writes them.
+class _Watch:
+    """Counts malformed values in the jobs that write the cleaned tables."""
+
+    def __init__(self, on: bool):
+        self.on, self.seen = on, []
+
+    def watched(self, raw: DataFrame, table: RawTable, sentinel: str) -> DataFrame:
+        """The rows without masks, and their malformed values observed."""
+        unmasked = sentinel_to_null(drop_bronze_audit(raw), table.masked, sentinel)
+        if not self.on or not table.types:
+            return unmasked
+        self.seen.append(Observation())
+        return unmasked.observe(self.seen[-1], *reject_counters(table.types))
+
+    def most(self) -> int:
+        """Never too low: a map task run again after a lost executor counts twice."""
+        return sum(n for one in self.seen for n in one.get.values())
 
-    The dimension's are counted by a job of their own.
+
+def table_rejects(raw: DataFrame, table: RawTable, sentinel: str) -> DataFrame:
+    """The malformed values of a Bronze table: table, row, column, value and source file."""
+    unmasked = sentinel_to_null(raw, table.masked, sentinel)
+    rejected = rejected_values(unmasked, table.types, ["_source_file"], drop_bronze_audit(raw).columns)
+    return rejected.select(F.lit(table.name).alias("source_table"), "*")
+
+
+def _check_rejects(
+    spark: SparkSession,
+    put: Callable[[DataFrame, str], Staged],
+    counts: _Watch,
+    facts: DataFrame,
+    dimension: DataFrame,
+    build: Build,
+    max_rejects: int,
+) -> None:
+    """Stages the malformed values; too many of them are an error.
+
+    Bronze is scanned for them only if the writes met any.
     """
-    parts = sentinel_to_null(drop_bronze_audit(dimension), build.dimension.masked, build.sentinel)
-    unmasked = sentinel_to_null(
-        drop_bronze_audit(facts), build.facts.masked, build.sentinel
-    )
-    seen = Observation()
-    watched = unmasked.observe(seen, *reject_counters(build.facts.types))
-
-    def gate() -> None:
-        # A map task run again after a lost executor counts twice, so the
-        # observed number is never too low; only a high one needs a recount.
-        rejected = count_rejects(parts, build.dimension.types).first().asDict() if build.dimension.types else {}
-        if sum(seen.get.values()) + sum(rejected.values()) <= max_rejects:
-            return
-        exact = count_rejects(unmasked, build.facts.types).first().asDict()
-        exact.update({f"{build.dimension.name}.{name}": n for name, n in rejected.items()})
-        if sum(exact.values()) > max_rejects:
-            found = {name: n for name, n in exact.items() if n}
-            raise TooManyRejects(f"malformed values by column: {found}")
-
-    return watched, gate
+    raws = ((facts, build.facts), (dimension, build.dimension))
+    found = [table_rejects(raw, table, build.sentinel) for raw, table in raws]
+    if counts.most() == 0:
+        found = [one.limit(0) for one in found]
+    rejects = spark.table(put(found[0].union(found[1]), build.rejects).version)
+    exact = {(r[0], r[1]): r[2] for r in rejects.groupBy("source_table", "column").count().collect()}
+    if sum(exact.values()) > max_rejects:
+        named = {
+            (name if table is build.facts else f"{table.name}.{name}"): exact[table.name, name]
+            for _, table in raws
+            for name in table.types
+            if (table.name, name) in exact
+        }
+        raise TooManyRejects(f"malformed values by column: {named}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,12 +70,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/orefold/{application}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write `df` once and read it back.
 
     For a frame that feeds several branches of one plan: its inputs are then
     scanned once, and a lost executor costs a re-read, not a re-computation.
+    Branches that filter on a column of `partition_by` read only their folders.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -133,6 +133,8 @@ LINES = Build(
     snapshot_drop=("p_name", "p_brand"),
     snapshot_rename={"p_type": "d_type", "p_retailprice": "d_retail", "p_size": "d_size"},
     silver="lines_enriched",
+    silver_dimension="parts",
+    snapshot_columns=("p_size",),
     gold=(GOLD_BY_KEY, GOLD_BY_STYLE, GOLD_EFFICIENCY, GOLD_BY_SEGMENT),
 )
 

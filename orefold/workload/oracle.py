@@ -247,3 +247,27 @@ SELECT o_orderkey, o_totalprice, rank() OVER (ORDER BY o_totalprice DESC) AS pri
     "q37e_built_by_segment": ORACLE["q24_gold_by_segment"],
     "q37f_rebuilt_from_bronze": ORACLE["q20_silver_enriched"],
 }
+
+ORACLE |= {
+    "q07d_rejected_values": """
+SELECT l_orderkey, l_linenumber, 'price_s' AS "column", '?' AS value, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS qty_s
+FROM lineitem WHERE l_linenumber = 7""",
+    "q09c_dedupe_wide": """
+SELECT md5(text) AS text_md5, lang, source, n_chars FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)""",
+    "q21b_gold_bucketed": ORACLE["q21_gold_by_key"],
+    "q22b_exact_means": """
+SELECT l_returnflag, count(*) AS total_lines,
+  round(CAST(sum(CAST(round(l_extendedprice * 100) AS HUGEINT) * 10000000) AS DOUBLE) / count(*), 1) AS mean_large
+FROM lineitem GROUP BY l_returnflag""",
+    "q24b_gold_together": ORACLE["q24_gold_by_segment"],
+    "q37g_quarantine": """
+SELECT 'lines_raw' AS source_table, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, 'price' AS "column",
+  '?' AS value, 'lines.csv' AS _source_file
+FROM lineitem WHERE l_linenumber = 7""",
+    "q37h_committed_rows": f"""{_VIEWS.strip()}
+SELECT 'price_by_supplier' AS table_name, count(*) AS total_rows FROM gold_by_key
+UNION ALL SELECT 'flag_summary', count(*) FROM gold_by_style
+UNION ALL SELECT 'blend_ranking', count(*) FROM gold_efficiency
+UNION ALL SELECT 'band_analysis', count(*) FROM gold_by_segment""",
+    "q37i_stored_snapshot": ORACLE["q18_dim_snapshot"],
+}

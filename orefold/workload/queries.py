@@ -4,34 +4,40 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import band, normalized, round_mean
 from ..operators import (
+    Measure,
     cast_columns,
     count_rejects,
     dedupe,
     dedupe_audit,
+    dedupe_by_fingerprint,
     enrich_left,
     first_rows,
     global_rank,
     ordinal,
+    rejected_values,
     sentinel_to_null,
     summarize,
     top_k,
 )
 from ..plans import panels
-from ..plans.gold import GoldTable, build_gold, read_gold
-from ..plans.layers import Layers, build_silver, read_raw_csv, run_layers
+from ..plans.gold import GoldTable, build_gold, build_gold_tables, read_gold
+from ..plans.layers import Layers, build_silver, join_side, read_raw_csv, run_layers
 from ..session import materialize, scratch_path
-from ..sinks import publish
+from ..sinks import Layout, publish
 from ..sources import (
     count_malformed,
     read_csv_declared,
     read_csv_flagged,
     read_csv_strings,
+    read_layer,
     read_table,
     with_bronze_audit,
     with_gold_audit,
@@ -149,6 +155,18 @@ def cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_rejects(raw_lines(spark, sf_dir), _RAW_TYPES)
 
 
+def rejected_raw_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each malformed value with the row it stands in."""
+
+    def of_row(name: str) -> Column:
+        return F.get_json_object("row", f"$.{name}")
+
+    rejected = rejected_values(raw_lines(spark, sf_dir), _RAW_TYPES, ["l_orderkey"])
+    return rejected.select(
+        "l_orderkey", of_row("l_linenumber").cast("int").alias("l_linenumber"), "column", "value", of_row("qty_s").alias("qty_s")
+    )
+
+
 def normalize_event_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = F.concat(F.lit("  "), F.upper("event_type"), F.lit(" "))
     return (
@@ -168,6 +186,12 @@ def dedupe_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dedupe_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = given(spark, sf_dir, "documents").select("text", "lang", "source", "n_chars")
+    kept = dedupe_by_fingerprint(rows)
+    return kept.select(F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
+
+
 def dedupe_line_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe(given(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
 
@@ -293,6 +317,27 @@ def gold_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_gold(enriched(spark, sf_dir), GOLD_BY_SEGMENT)
 
 
+def gold_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables whose keys make few groups, from one scan, summed up before they are told apart."""
+    gold = build_gold_tables(enriched(spark, sf_dir), (GOLD_BY_STYLE, GOLD_BY_SEGMENT), pre_aggregate=True)
+    return gold[GOLD_BY_SEGMENT.name]
+
+
+def gold_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supplier table over enriched lines stored in buckets by supplier."""
+    layer, folder = fresh_layer(spark)
+    by_supplier = Layout(bucket_by=["l_suppkey"], buckets=16, sort_by=["l_suppkey"])
+    publish(enriched(spark, sf_dir), layer, "lines", location=folder, layout=by_supplier)
+    return build_gold(read_table(spark, f"{layer}.lines"), GOLD_BY_KEY)
+
+
+def exact_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of values whose sums leave the whole numbers that a double can hold."""
+    lines = given(spark, sf_dir, "lineitem")
+    large = lines.select("l_returnflag", (F.rint(F.col("l_extendedprice") * 100) * 1e7).alias("large"))
+    return summarize(large, ["l_returnflag"], [Measure("mean_large", "mean", "large", 1), Measure("total_lines", "rows")])
+
+
 def pct_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     percent = next(m for m in GOLD_BY_SEGMENT.measures if m.name == "pct_open")
     return summarize(enriched(spark, sf_dir), ["l_suppkey"], [percent])
@@ -418,6 +463,38 @@ def _built_gold(table: GoldTable) -> Query:
     return query
 
 
+def stored_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What facts join to, from the typed dimension of a build."""
+    layers = built_layers(spark, sf_dir)
+    return join_side(read_table(spark, f"{layers.silver}.{LINES.silver_dimension}"), LINES)
+
+
+def committed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each gold table of one commit."""
+    tables = read_layer(spark, built_layers(spark, sf_dir).gold)
+    counts = [
+        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("total_rows")) for name, df in sorted(tables.items())
+    ]
+    return reduce(DataFrame.union, counts)
+
+
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a lenient build lists beside Silver if the mask is not known as one."""
+    lines = write_csv(named_lines(raw_lines(spark, sf_dir)), "lines-csv")
+    parts = write_csv(given(spark, sf_dir, "part"), "parts-csv")
+    build = replace(LINES, sentinel="masked", gold=())
+    sources = {
+        LINES.facts.name: read_raw_csv(spark, LINES.facts, lines),
+        LINES.dimension.name: read_raw_csv(spark, LINES.dimension, parts),
+    }
+    run, folder = fresh_layer(spark)
+    layers = Layers(f"{run}_bronze", f"{run}_silver", f"{run}_gold", location=folder)
+    run_layers(spark, build, sources, layers, max_rejects=2**62)
+    rejects = read_table(spark, f"{layers.silver}.{build.rejects}")
+    keys = [F.get_json_object("row", f"$.{name}").cast("bigint").alias(name) for name in ("l_orderkey", "l_linenumber")]
+    return rejects.select("source_table", *keys, "column", "value", "_source_file")
+
+
 def rebuilt_from_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver of a second run whose sources are the Bronze tables of the first."""
     first = built_layers(spark, sf_dir)
@@ -442,9 +519,11 @@ QUERIES: dict[str, Query] = {
     "q07_typed_cast": typed_cast,
     "q07b_lenient_cast": lenient_cast,
     "q07c_cast_rejects": cast_rejects,
+    "q07d_rejected_values": rejected_raw_values,
     "q08_normalize_text": normalize_event_types,
     "q09_dedupe_rows": dedupe_documents,
     "q09b_dedupe_line_keys": dedupe_line_keys,
+    "q09c_dedupe_wide": dedupe_wide_rows,
     "q10_dedupe_audit": dedupe_line_audit,
     "q10b_observed_count": observed_count,
     "q11_filter_not_null": filter_not_null,
@@ -460,9 +539,12 @@ QUERIES: dict[str, Query] = {
     "q19b_enrich_left_salted": enrich_lines_salted,
     "q20_silver_enriched": silver_enriched,
     "q21_gold_by_key": gold_by_key,
+    "q21b_gold_bucketed": gold_bucketed,
     "q22_gold_by_style": gold_by_style,
+    "q22b_exact_means": exact_means,
     "q23_gold_efficiency_rank": gold_efficiency_rank,
     "q24_gold_by_segment": gold_by_segment,
+    "q24b_gold_together": gold_together,
     "q25_pct_flag": pct_flag,
     "q26_global_rank": rank_all_groups,
     "q26b_rank_orders": rank_orders,
@@ -483,4 +565,7 @@ QUERIES: dict[str, Query] = {
     "q37d_built_ranking": _built_gold(GOLD_EFFICIENCY),
     "q37e_built_by_segment": _built_gold(GOLD_BY_SEGMENT),
     "q37f_rebuilt_from_bronze": rebuilt_from_bronze,
+    "q37g_quarantine": quarantine,
+    "q37h_committed_rows": committed_rows,
+    "q37i_stored_snapshot": stored_snapshot,
 }

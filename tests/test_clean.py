@@ -6,7 +6,10 @@ from orefold.operators import (
     count_rejects,
     dedupe,
     dedupe_audit,
+    dedupe_by_fingerprint,
+    fingerprint,
     normalize_text,
+    rejected_values,
     sentinel_to_null,
 )
 
@@ -70,3 +73,58 @@ def test_strictness_does_not_depend_on_the_session(spark, conf, ansi):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         cast_columns(df, {"i": "int"}).collect()
     assert rows(cast_columns(df, {"i": "int"}, lenient=True)) == [(1,), (None,)]
+
+
+ODD_ROWS = [
+    (None, "a", 0.0, [1]), ("a", None, -0.0, [1]), (None, "a", -0.0, [1]), ("a", "", None, None), ("a", None, None, None),
+    ("", "a", float("nan"), []), ("", "a", float("nan"), []), (None, None, None, None), (None, None, None, None),
+    ("ab", "c", 1.0, [None]), ("a", "bc", 1.0, [None]), ("a", "bc", 1.0, []), ("a", "bc", 1.0, [None]),
+]
+
+
+def test_fingerprints_keep_what_dedupe_keeps(spark):
+    df = spark.createDataFrame(ODD_ROWS, "a string, b string, v double, l array<int>").repartition(3)
+
+    def kept(one):
+        return rows(one.select("a", "b", (F.col("v") + 0.0).cast("string"), "l"))
+
+    wanted = kept(dedupe(df))
+    assert len(wanted) == 9 and kept(dedupe_by_fingerprint(df)) == wanted
+    # All or many rows share a fingerprint: nothing but time is lost.
+    for prints in (lambda _: [F.lit(1).alias("_print_a"), F.lit(2).alias("_print_b")],
+                   lambda c: [F.length(F.coalesce("a", F.lit(""))).cast("long").alias("_print_a"), F.lit(0).alias("_print_b")]):
+        assert kept(dedupe_by_fingerprint(df, prints)) == wanted
+    assert dedupe_by_fingerprint(df).columns == df.columns
+    assert dedupe_by_fingerprint(df.limit(0)).count() == 0
+
+
+def test_fingerprints_tell_the_place_of_a_null(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None)], "a string, b string")
+    assert df.select(*fingerprint(df.columns)).distinct().count() == 2
+
+
+def test_fingerprints_shuffle_less(spark, tmp_path):
+    wide = spark.range(3000).select("id", *[F.sha2(F.concat(F.lit(str(i)), "id"), 256).alias(f"c{i}") for i in range(12)])
+    wide.union(wide.limit(20)).write.parquet(str(tmp_path / "wide"))
+    stored = spark.read.parquet(str(tmp_path / "wide"))
+
+    plan = plan_of(dedupe_by_fingerprint(stored))
+    moved = [line for line in plan.splitlines() if "Arguments: hashpartitioning" in line]
+    # One shuffle is left, of the rows that share a fingerprint.
+    assert len(moved) == 1 and "BroadcastHashJoin LeftSemi" in plan and "BroadcastHashJoin LeftAnti" in plan
+    assert rows(dedupe_by_fingerprint(stored)) == rows(dedupe(stored))
+
+
+def test_rejected_values_come_with_their_row(spark):
+    df = spark.createDataFrame(
+        [("1", "x", "f1"), ("oops", "y", "f2"), (None, "2.5", "f3"), ("3", "4", "f4")], "i string, d string, src string"
+    )
+    got = rejected_values(df, {"i": "int", "d": "double"}, ["src"], ["i", "d"])
+    assert got.columns == ["column", "value", "row", "src"]
+    assert rows(got) == [
+        ("d", "x", '{"i":"1","d":"x"}', "f1"),
+        ("d", "y", '{"i":"oops","d":"y"}', "f2"),
+        ("i", "oops", '{"i":"oops","d":"y"}', "f2"),
+    ]
+    assert rejected_values(df, {}).count() == 0
+    assert got.count() == sum(count_rejects(df, {"i": "int", "d": "double"}).first())

@@ -1,6 +1,7 @@
 """The car market build on hand-written CSV files."""
 
 import csv
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -266,3 +267,60 @@ def test_frequent_keys_are_counted_on_the_key_column_alone(spark):
     assert whole_row in main and whole_row not in extra
     plain = build_silver(facts, parts, LINES)
     assert rows(salted.drop("_silver_timestamp")) == rows(plain.drop("_silver_timestamp"))
+
+
+def test_rejects_are_listed_beside_silver(spark, with_junk, layers):
+    report = run_layers(spark, CAR_MARKET, csv_sources(spark, *with_junk), layers, max_rejects=2)
+    rejects = spark.table(f"{layers.silver}.{CAR_MARKET.rejects}")
+    assert report.rejects.rows == 2
+    got = rejects.select("source_table", "column", "value", "_source_file", F.get_json_object("row", "$.make"))
+    assert rows(got) == [
+        (CARS.name, "horsepower", "fast", "automobiles.csv", "acme"),
+        (CARS.name, "price", "12k", "automobiles.csv", "acme"),
+    ]
+
+
+def test_a_run_without_rejects_lists_none(spark, raw, layers):
+    report = run_layers(spark, CAR_MARKET, csv_sources(spark, *raw), layers, max_rejects=5)
+    assert report.rejects.rows == 0 and spark.table(f"{layers.silver}.{CAR_MARKET.rejects}").count() == 0
+
+
+def test_malformed_dimension_values_count(spark, raw, layers, tmp_path):
+    odd = [*FUEL_ROWS, ("new", "19x5", "1", "1", "1", "1", "economy", "many", "1")]
+    fuel = write(tmp_path / "odd.csv", FUEL_COLUMNS, odd)
+    sources = csv_sources(spark, raw[0], fuel)
+    with pytest.raises(TooManyRejects, match="'fuel_economy_raw.model_year': 1, 'fuel_economy_raw.popularity_score': 1"):
+        run_layers(spark, CAR_MARKET, sources, layers, max_rejects=1)
+    assert not spark.catalog.tableExists(f"{layers.silver}.automobiles_enriched")
+    report = run_layers(spark, CAR_MARKET, csv_sources(spark, raw[0], fuel), layers, max_rejects=2)
+    assert report.rejects.rows == 2 and report.silver.rows == 6
+
+
+def test_the_typed_dimension_is_stored_by_snapshot(spark, raw, layers):
+    from orefold.plans.layers import join_side
+
+    from .conftest import plan_of
+
+    report = run_layers(spark, CAR_MARKET, csv_sources(spark, *raw), layers)
+    stored = spark.table(f"{layers.silver}.{CAR_MARKET.silver_dimension}")
+    assert report.silver_dimension.rows == 4 and dict(stored.dtypes)["model_year"] == "int"
+    text = plan_of(join_side(stored, CAR_MARKET))
+    assert "PartitionFilters: [isnotnull(model_year" in text and "= 1985)]" in text
+    assert rows(join_side(stored, CAR_MARKET).select("make", "fe_popularity_score")) == [("acme", 80), ("bolt", 91)]
+
+
+def test_silver_by_fingerprint_and_in_buckets(spark, raw, layers):
+    from orefold.plans.gold import build_gold
+    from orefold.sinks import Layout
+    from orefold.sources import read_table
+
+    from .conftest import plan_of
+
+    run_layers(spark, CAR_MARKET, csv_sources(spark, *raw), layers)
+    before = {n: rows(bare(d)) for n, d in gold_of(spark, layers).items()}
+    by_make = Layout(bucket_by=["make"], buckets=4)
+    run_layers(spark, CAR_MARKET, csv_sources(spark, *raw), layers, by_fingerprint=True, silver_layout=by_make)
+    assert {n: rows(bare(d)) for n, d in gold_of(spark, layers).items()} == before
+    silver = read_table(spark, f"{layers.silver}.automobiles_enriched")
+    for table in (PRICE_BY_MAKE, FUEL_RANKING):
+        assert "Exchange" not in plan_of(build_gold(silver, replace(table, rank=None)))
