@@ -13,7 +13,7 @@ from .clean import (
     sentinel_to_null,
     string_columns,
 )
-from .enrich import dimension_snapshot, enrich_left, hot_keys, require_unique
+from .enrich import dimension_snapshot, enrich_left, frequent_keys, hot_keys, require_unique
 from .ranking import first_rows, global_rank, ordinal, top_k
 from .summarize import Measure, all_parts, cut_means, finished, summarize
 
@@ -31,6 +31,7 @@ __all__ = [
     "fingerprint",
     "finished",
     "first_rows",
+    "frequent_keys",
     "global_rank",
     "hot_keys",
     "normalize_text",

@@ -10,12 +10,14 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import normalized, unmasked
 from ..operators import (
     cast_columns,
     dedupe,
     dedupe_by_fingerprint,
     dimension_snapshot,
     enrich_left,
+    frequent_keys,
     normalize_text,
     reject_counters,
     rejected_values,
@@ -94,6 +96,7 @@ class Report:
     silver: Published | None = None
     silver_dimension: Published | None = None
     rejects: Published | None = None  # of a lenient run
+    hot_keys: list | None = None  # of a salted run, most frequent first
     gold: dict[str, Published] = field(default_factory=dict)
 
     def removed_copies(self, build: Build) -> int:
@@ -174,6 +177,7 @@ def _silver(
     salt_buckets: int,
     hot_limit: int,
     by_fingerprint: bool,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     return (
         facts.transform(clean, build.facts, build.sentinel, lenient)
@@ -186,11 +190,22 @@ def _silver(
             build.key,
             salt_buckets=salt_buckets,
             hot_limit=hot_limit,
-            keys=_keys(facts, build, lenient),
+            keys=_keys(facts, build, lenient) if hot is None else None,
+            hot=hot,
         )
     )
 
 
+def cleaned_key(build: Build) -> Column:
+    """The key of a raw fact row as Silver will have it; malformed ones are null."""
+    raw, key = build.facts, F.col(build.key)
+    if raw.masked is None or build.key in raw.masked:
+        key = unmasked(key, build.sentinel)
+    if build.key in raw.types:
+        key = key.try_cast(raw.types[build.key])
+    return normalized(key) if build.key in raw.text else key
+
+
 def _keys(facts: DataFrame, build: Build, lenient: bool) -> DataFrame:
     """The key column of the facts, cleaned, with the copies still in it.
 
@@ -231,9 +246,11 @@ def run_layers(
     dimension become null and are listed in a table beside Silver, and with
     more Silver is left as it was. The tables of a layer are replaced in one
     commit: if one cannot be written, all stay as they were. The gold tables
-    are summed up together, from one scan of Silver.
+    are summed up together, from one scan of Silver. With `salt_buckets` the
+    frequent keys are observed while Bronze is written.
     """
     report = Report()
+    keys = Observation()
     for layer in (layers.bronze, layers.silver, layers.gold):
         ensure_layer(spark, layer, layers.folder(layer))
 
@@ -241,9 +258,14 @@ def run_layers(
         source = sources[raw.name]
         known = "_source_file" in source.columns
         audited = with_bronze_audit(source, None if known else raw.source_file)
+        if salt_buckets and raw is build.facts:
+            audited = audited.observe(keys, frequent_keys(cleaned_key(build), hot_limit).alias("frequent"))
         return publish(audited, layers.bronze, raw.name, location=layers.folder(layers.bronze), fmt=layers.fmt)
 
     report.bronze = _side_by_side(put_bronze, (build.facts, build.dimension), spark)
+    if salt_buckets:
+        frequent = keys.get["frequent"] or []
+        report.hot_keys = [row["item"] for row in frequent if row["item"] is not None]
 
     facts = read_table(spark, f"{layers.bronze}.{build.facts.name}")
     dimension = read_table(spark, f"{layers.bronze}.{build.dimension.name}")
@@ -269,6 +291,7 @@ def run_layers(
             salt_buckets=salt_buckets,
             hot_limit=hot_limit,
             by_fingerprint=by_fingerprint,
+            hot=report.hot_keys,
         )
         finest = F.approx_count_distinct(group_finest(build.gold)).alias("groups")
         put(silver.observe(groups, finest) if build.gold else silver, build.silver, silver_layout)

@@ -254,6 +254,7 @@ SELECT l_orderkey, l_linenumber, 'price_s' AS "column", '?' AS value, CAST(CAST(
 FROM lineitem WHERE l_linenumber = 7""",
     "q09c_dedupe_wide": """
 SELECT md5(text) AS text_md5, lang, source, n_chars FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)""",
+    "q19c_enrich_left_sketched": ORACLE["q19_enrich_left"],
     "q21b_gold_bucketed": ORACLE["q21_gold_by_key"],
     "q22b_exact_means": """
 SELECT l_returnflag, count(*) AS total_lines,

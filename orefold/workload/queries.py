@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import band, normalized, round_mean
@@ -20,6 +20,7 @@ from ..operators import (
     dedupe_by_fingerprint,
     enrich_left,
     first_rows,
+    frequent_keys,
     global_rank,
     ordinal,
     rejected_values,
@@ -247,6 +248,17 @@ def enrich_lines_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_left(facts, dim, LINES.key, salt_buckets=16).drop("d_retail")
 
 
+def enrich_lines_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Salted by the keys that were observed while the lines were published."""
+    layer, folder = fresh_layer(spark)
+    lines = given(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber")
+    seen = Observation()
+    publish(lines.observe(seen, frequent_keys(F.col("l_partkey"), 100).alias("frequent")), layer, "lines", location=folder)
+    hot = [row["item"] for row in seen.get["frequent"] if row["item"] is not None]
+    facts = read_table(spark, f"{layer}.lines")
+    return enrich_left(facts, part_dim(spark, sf_dir), LINES.key, salt_buckets=16, hot=hot).drop("d_retail")
+
+
 def silver_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = named_lines(raw_lines(spark, sf_dir))
     silver = build_silver(raw, given(spark, sf_dir, "part"), LINES)
@@ -537,6 +549,7 @@ QUERIES: dict[str, Query] = {
     "q18_dim_snapshot": part_dim,
     "q19_enrich_left": enrich_lines,
     "q19b_enrich_left_salted": enrich_lines_salted,
+    "q19c_enrich_left_sketched": enrich_lines_sketched,
     "q20_silver_enriched": silver_enriched,
     "q21_gold_by_key": gold_by_key,
     "q21b_gold_bucketed": gold_bucketed,

@@ -105,3 +105,35 @@ def test_small_dimension_is_broadcast_and_large_one_is_not(spark, conf, facts, d
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = plan_of(enrich_left(facts, dim, "make"))
     assert join(plan) == "SortMergeJoin" and "Cartesian" not in plan
+
+
+def test_frequent_keys_are_observed_within_the_stated_error(spark):
+    from pyspark.sql import Observation
+
+    from orefold.operators import frequent_keys
+
+    n = F.col("id")
+    # A third of the rows has one key, a tenth another, a hundredth each three more; the rest are single.
+    key = F.when(n % 3 == 0, "hot").when(n % 10 == 1, "warm").when(n % 100 < 3, F.concat(F.lit("w"), n % 100)).otherwise(n.cast("string"))
+    rows_in = spark.range(90_000).select(key.alias("k")).repartition(7)
+    exact = {r["k"]: r["count"] for r in rows_in.groupBy("k").count().orderBy(F.desc("count")).limit(20).collect()}
+    seen = Observation()
+    rows_in.observe(seen, frequent_keys(F.col("k"), 100, 1000).alias("top")).write.format("noop").mode("overwrite").save()
+    got = {r["item"]: r["count"] for r in seen.get["top"]}
+    error = 3.5 / 1000 * 90_000
+    assert all(abs(got[k] - exact[k]) <= error for k in got if k in exact)
+    assert {k for k, c in exact.items() if c > 2 * error} <= set(got) and list(got)[0] == "hot"
+    few = Observation()
+    spark.range(5000).select((n % 50).alias("k")).observe(few, frequent_keys(F.col("k"), 100).alias("top")).collect()
+    assert {r["item"]: r["count"] for r in few.get["top"]} == dict.fromkeys(range(50), 100)
+
+
+def test_known_hot_keys_need_no_count(spark):
+    facts = spark.range(1000).selectExpr("if(id % 3 = 0, 1, id) k", "if(id % 11 = 0, null, id) v")
+    dim = spark.range(900).selectExpr("id k", "id * 2 d")
+    salted = enrich_left(facts, dim, "k", salt_buckets=8, hot=[1])
+    assert rows(salted) == rows(enrich_left(facts, dim, "k"))
+    counted = plan_of(enrich_left(facts, dim, "k", salt_buckets=8))
+    assert "collect_list" in counted
+    assert "collect_list" not in plan_of(enrich_left(facts, dim, "k", salt_buckets=8, hot=[1]))
+    assert rows(enrich_left(facts, dim, "k", salt_buckets=8, hot=[])) == rows(salted)

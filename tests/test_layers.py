@@ -210,7 +210,8 @@ def test_settings_do_not_change_results(spark, raw, layers, conf):
     before = {n: rows(bare(d)) for n, d in gold_of(spark, layers).items()}
     conf("spark.sql.shuffle.partitions", "13")
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    run_layers(spark, CAR_MARKET, csv_sources(spark, *raw), layers, salt_buckets=4)
+    report = run_layers(spark, CAR_MARKET, csv_sources(spark, *raw), layers, salt_buckets=4)
+    assert report.hot_keys[0] == "acme" and sorted(report.hot_keys) == ["acme", "bolt", "lone"]
     assert {n: rows(bare(d)) for n, d in gold_of(spark, layers).items()} == before
 
 
