@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .words import _INVERSE, chunks, mix, powers, prefix_hashes, span_hashes, text_buffers
+from .words import PrefixHashes, chunks, mix, text_buffers
 
 _LOW = np.uint64(0xFFFFFFFF)
 # Occurrences in a chunk from which on a seed counts as frequent there.
@@ -32,7 +32,7 @@ class Windows:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, length: int, seed: int):
         n = len(data)
         self.offsets, self.length = offsets, length
-        self.sums = prefix_hashes(data)
+        self.hash = PrefixHashes(data)
         sizes = np.diff(offsets)
         ends = np.repeat(offsets[1:], sizes) if n else np.zeros(0, np.int64)
         #: starts of the strings that lie inside one text
@@ -40,18 +40,13 @@ class Windows:
         if not len(self.starts):
             self.sampled = np.zeros(0, np.int64)
             return
-        seeds = self.sums[seed:] - self.sums[: n + 1 - seed]
-        seeds *= powers(_INVERSE, len(seeds))
-        seeds = mix(seeds)
+        seeds = self.hash.windows(seed)
         ranked = (seeds & ~_LOW) | np.arange(len(seeds), dtype=np.uint64)
         lowest = sliding_minimum(ranked, length - seed + 1)
         #: sampled position of each string
         self.sampled = (lowest[self.starts] & _LOW).astype(np.int64)
         self.seeds = seeds
 
-    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return span_hashes(self.sums, start, end)
-
     def samples(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sampled positions with the first and last string that each belongs to."""
         if not len(self.starts):
@@ -75,6 +70,10 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
+# Rows of hot seeds: runs of later strings, runs of strings that may be the first, strings.
+_LATER, _OPEN, _STRING = 0, 1, 2
+
+
 def _bytes_of(batch: pa.RecordBatch, length: int, seed: int):
     data, offsets = text_buffers(batch["text"])
     for first, last in chunks(offsets):
@@ -184,8 +183,9 @@ def _surrounding(length: int, seed: int, hot: bool):
                 keep = np.isin(windows.seeds[at], known[bounds[first] : bounds[last]])
                 at, low, high, text = at[keep], low[keep], high[keep], text[keep]
                 if hot:
-                    # Strings met before in the chunk are later ones for sure and
-                    # leave as runs; the others go on to meet those of other chunks.
+                    # Strings met before in the chunk are later ones for sure. So is
+                    # every other one that is not the first of all chunks: they
+                    # leave as runs too, and by hash to find the first.
                     count = high - low + 1
                     step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                     low, text = np.repeat(low, count) + step, np.repeat(text, count)
@@ -196,15 +196,17 @@ def _surrounding(length: int, seed: int, hot: bool):
                     by = np.lexsort((low, rank[text], hashes))
                     later = np.zeros(len(by), bool)
                     later[by[1:]] = hashes[by[1:]] == hashes[by[:-1]]
-                    begin, finish = _runs(later, text, low)
                     rest = np.flatnonzero(~later)
-                    end = low[finish] + length - windows.offsets[text[begin]]
-                    use = np.concatenate([begin, rest])
+                    sure, open_ = _runs(later, text, low), _runs(~later, text, low)
+                    use = np.concatenate([sure[0], open_[0], rest])
+                    until = np.concatenate([sure[1], open_[1], rest])
+                    kinds = np.repeat([_LATER, _OPEN, _STRING], [len(sure[0]), len(open_[0]), len(rest)])
+                    until = low[until] - windows.offsets[text[use]]
                     low, text = low[use], text[use]
-                    none = pa.nulls(len(begin), pa.int64()), pa.nulls(len(rest), pa.int64())
                     kind = {
-                        "string": pa.concat_arrays([none[0], pa.array(hashes[rest].view(np.int64))]),
-                        "end": pa.concat_arrays([pa.array(end), none[1]]),
+                        "kind": pa.array(kinds.astype(np.int32)),
+                        "string": pa.array(hashes[use].view(np.int64), mask=kinds != _STRING),
+                        "last": pa.array(until),
                     }
                 else:
                     base = limits[first]
@@ -278,40 +280,55 @@ def _later_runs(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _cutting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, limits = text_buffers(batch["text"])
-        bounds = batch["spans"].offsets.to_numpy()
-        flat = batch["spans"].values
-        lows, highs = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        removed, spans, digests, merged = [], [], [], []
-        for i in range(len(batch)):
-            text = data[limits[i] : limits[i + 1]]
-            order = np.argsort(lows[bounds[i] : bounds[i + 1]], kind="stable")
-            low, high = lows[bounds[i] : bounds[i + 1]][order], highs[bounds[i] : bounds[i + 1]][order]
-            if len(low):
-                reach = np.maximum.accumulate(high)
-                new = np.append(True, low[1:] > reach[:-1])
-                low, high = low[new], reach[np.append(np.flatnonzero(new)[1:], len(reach)) - 1]
-            edges = np.concatenate([[0], np.stack([low, high], 1).ravel(), [len(text)]]).astype(np.int64)
-            kept = hashlib.sha256()
-            for x, y in zip(edges[::2].tolist(), edges[1::2].tolist()):
-                kept.update(text[x:y].data)
-            removed.append(int((high - low).sum()))
-            spans.append(len(low))
-            digests.append(kept.hexdigest())
-            merged.append([{"from": x, "to": y} for x, y in zip(low.tolist(), high.tolist())])
-        yield pa.record_batch(
-            {
-                "doc_id": batch["doc_id"],
-                "text_a": batch["text_a"],
-                "text_b": batch["text_b"],
-                "n_removed": pa.array(removed, pa.int64()),
-                "n_spans": pa.array(spans, pa.int64()),
-                "kept_sha256": pa.array(digests, pa.string()),
-                "removed": pa.array(merged, pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))),
-            }
-        )
+def _cutting(length: int):
+    """Cuts the spans out of the texts: given ones, and strings of open runs but for the first ones."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, limits = text_buffers(batch["text"])
+            lists = {}
+            for name in ("spans", "open"):
+                column = batch[name]
+                low, high = (column.values.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+                lists[name] = column.offsets.to_numpy(), low, high
+            firsts = batch["firsts"].offsets.to_numpy(), batch["firsts"].values.to_numpy(zero_copy_only=False)
+            removed, spans, digests, merged = [], [], [], []
+            for i in range(len(batch)):
+                text = data[limits[i] : limits[i + 1]]
+                at, low, high = lists["spans"]
+                low, high = low[at[i] : at[i + 1]], high[at[i] : at[i + 1]]
+                at, begin, last = lists["open"]
+                begin, count = begin[at[i] : at[i + 1]], last[at[i] : at[i + 1]] - begin[at[i] : at[i + 1]] + 1
+                strings = np.repeat(begin, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                later = np.setdiff1d(strings, firsts[1][firsts[0][i] : firsts[0][i + 1]])
+                low, high = np.concatenate([low, later]), np.concatenate([high, later + length])
+                order = np.argsort(low, kind="stable")
+                low, high = low[order], high[order]
+                if len(low):
+                    reach = np.maximum.accumulate(high)
+                    new = np.append(True, low[1:] > reach[:-1])
+                    low, high = low[new], reach[np.append(np.flatnonzero(new)[1:], len(reach)) - 1]
+                edges = np.concatenate([[0], np.stack([low, high], 1).ravel(), [len(text)]]).astype(np.int64)
+                kept = hashlib.sha256()
+                for x, y in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                    kept.update(text[x:y].data)
+                removed.append(int((high - low).sum()))
+                spans.append(len(low))
+                digests.append(kept.hexdigest())
+                merged.append([{"from": x, "to": y} for x, y in zip(low.tolist(), high.tolist())])
+            yield pa.record_batch(
+                {
+                    "doc_id": batch["doc_id"],
+                    "text_a": batch["text_a"],
+                    "text_b": batch["text_b"],
+                    "n_removed": pa.array(removed, pa.int64()),
+                    "n_spans": pa.array(spans, pa.int64()),
+                    "kept_sha256": pa.array(digests, pa.string()),
+                    "removed": pa.array(merged, pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))),
+                }
+            )
+
+    return cut
 
 
 def repeated_bytes(
@@ -335,8 +352,9 @@ def repeated_bytes(
     threshold, so that equal ranks are repeats. Every string belongs to one
     sampled position and equal strings have it at the same place, so sampling
     (one position in about 30) loses nothing. Positions of one seed meet in one
-    task; for a seed that more than `hot` positions share, each string is
-    looked up by its own hash and first place instead, merged before it moves.
+    task; for a seed that more than `hot` positions share, the first place of
+    each string is sought by its own hash, merged before it moves, and all
+    other strings of such seeds are later ones: they need no rows of their own.
 
     Strings are compared by 64-bit hashes, texts by 120-bit ones. Null text is
     empty. Rows equal in id and text are one document; texts that share an id
@@ -397,22 +415,32 @@ def repeated_bytes(
         .sortWithinPartitions("seed")
         .mapInArrow(_deciding(length), "doc_id long, text_a long, text_b long, from long, to long")
     )
-    hot_rows = materialize(near("hot", f"string long, end long, {place}"), "repeat-hot-strings")
-    strings = hot_rows.filter("string is not null")
-    known_later = hot_rows.filter("end is not null").select("doc_id", *names, F.col("start").alias("from"), F.col("end").alias("to"))
+    hot_rows = materialize(near("hot", f"kind int, string long, last long, {place}"), "repeat-hot-strings")
+    # Of each hot string only its first place is sought, merged before it moves.
     here = F.struct("doc_id", *names, "start")
-    first = strings.groupBy("string").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("times"))
-    hot_runs = (
-        strings.join(first.filter("times > 1").drop("times"), "string")
-        .filter(here != F.col("first"))
-        .select("doc_id", *names, F.col("start").alias("from"), (F.col("start") + length).alias("to"))
+    first = hot_rows.filter(F.col("kind") == _STRING).groupBy("string").agg(F.min(here).alias("first"))
+    firsts = first.select("first.text_a", "first.text_b", F.lit(_STRING).alias("kind"), F.col("first.start").alias("from"))
+    run_end = F.when(F.col("kind") == _LATER, F.col("last") + length).otherwise(F.col("last"))
+    hot_runs = hot_rows.filter(F.col("kind") != _STRING).select(*names, "kind", F.col("start").alias("from"), run_end.alias("to"))
+    marked = (
+        cool_runs.select(*names, F.lit(_LATER).alias("kind"), "from", "to")
+        .union(hot_runs)
+        .union(firsts.withColumn("to", F.lit(None).cast("long")))
+    )
+
+    def listed(kind: int, value: Column) -> Column:
+        return F.collect_list(F.when(F.col("kind") == kind, value))
+
+    runs = marked.groupBy(*names).agg(
+        listed(_LATER, F.struct("from", "to")).alias("spans"),
+        listed(_OPEN, F.struct("from", "to")).alias("open"),
+        listed(_STRING, F.col("from")).alias("firsts"),
     )
-    runs = cool_runs.union(hot_runs).union(known_later).groupBy(*names).agg(F.collect_list(F.struct("from", "to")).alias("spans"))
     cut = (
         texts.join(runs, names)
-        .select("doc_id", *names, "text", "spans")
+        .select("doc_id", *names, "text", "spans", "open", "firsts")
         .mapInArrow(
-            _cutting,
+            _cutting(length),
             "doc_id long, text_a long, text_b long, n_removed long, n_spans long, kept_sha256 string,"
             " removed array<struct<from:long,to:long>>",
         )

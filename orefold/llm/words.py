@@ -72,6 +72,7 @@ def _byte_values(lower: bool) -> np.ndarray:
 
 
 _VALUES = {lower: _byte_values(lower) for lower in (False, True)}
+_VALUES_31 = {lower: values % np.uint64(2**31 - 1) for lower, values in _VALUES.items()}
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -109,19 +110,69 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return known[:n]
 
 
-def prefix_hashes(data: np.ndarray, lower: bool = False) -> np.ndarray:
-    """Sums of byte values times powers; their differences identify strings."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    values = _VALUES[lower][data]
-    values *= powers(_BASE, len(data))
-    np.cumsum(values, out=sums[1:])
-    return sums
+_PRIME = np.uint64(2**31 - 1)
+_BITS = np.uint64(31)
+_BASE_31 = 1_220_703_125  # a generator's power; any would do
+_INVERSE_31 = pow(_BASE_31, -1, 2**31 - 1)
+_powers_31: dict[int, np.ndarray] = {}
 
 
-def span_hashes(sums: np.ndarray, start, end) -> np.ndarray:
-    """Hashes of the strings data[start:end], the same wherever they stand."""
-    raw = (sums[end] - sums[start]) * powers(_INVERSE, len(sums))[start]
-    return mix(raw + np.asarray(end - start).astype(np.uint64))
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A smaller number equal to `x` modulo 2**31 - 1: below 2**32 for products, 2**31 + 8 after another."""
+    low = x & _PRIME
+    low += x >> _BITS
+    return low
+
+
+def _residues(base: int, n: int) -> np.ndarray:
+    """base ** 0, 1, ..., n - 1 modulo 2**31 - 1; kept for the next call."""
+    known = _powers_31.get(base)
+    if known is None or len(known) < n:
+        known = np.ones(1, np.uint64)
+        while len(known) < max(n, 1 << 20):
+            known = np.append(known, known * np.uint64(pow(base, len(known), 2**31 - 1)) % _PRIME)
+        if n <= 1 << 22:
+            _powers_31[base] = known
+    return known[:n]
+
+
+class PrefixHashes:
+    """Sums of byte values times powers; their differences identify strings.
+
+    Modulo 2**64 alone, long strings can be built that collide for any base
+    (Thue-Morse words), so a second sum goes modulo a prime.
+    """
+
+    def __init__(self, data: np.ndarray, lower: bool = False):
+        self.wide = np.zeros(len(data) + 1, np.uint64)
+        values = _VALUES[lower][data]
+        values *= powers(_BASE, len(data))
+        np.cumsum(values, out=self.wide[1:])
+        self.prime = np.zeros(len(data) + 1, np.uint64)
+        values = _VALUES_31[lower][data]
+        values *= _residues(_BASE_31, len(data))
+        np.cumsum(_fold(values), out=self.prime[1:])
+
+    def spans(self, start, end) -> np.ndarray:
+        """Hashes of the strings data[start:end], the same wherever they stand.
+
+        `start` and `end` are arrays of places, or slices of them.
+        """
+        wide = (self.wide[end] - self.wide[start]) * powers(_INVERSE, len(self.wide))[start]
+        prime = _fold(_fold(self.prime[end] - self.prime[start])) * _residues(_INVERSE_31, len(self.wide))[start]
+        prime = _fold(_fold(prime))
+        prime[prime >= _PRIME] -= _PRIME
+        prime *= _BASE
+        wide += prime
+        return wide
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix(self.spans(start, end) + np.asarray(end - start).astype(np.uint64))
+
+    def windows(self, width: int) -> np.ndarray:
+        """Hashes of all strings of `width` bytes."""
+        n = len(self.wide) - width
+        return mix(self.spans(slice(0, max(n, 0)), slice(width, None)))
 
 
 class Tokens:
@@ -136,10 +187,10 @@ class Tokens:
     def hashes(self, lower: bool = False) -> np.ndarray:
         """A 64-bit hash of each span's bytes.
 
-        A polynomial over random byte values from prefix sums: every pass is
+        Polynomials over random byte values from prefix sums: every pass is
         vectorised over all bytes.
         """
-        return span_hashes(prefix_hashes(self.data, lower), self.start, self.end)
+        return PrefixHashes(self.data, lower)(self.start, self.end)
 
 
 def words(data: np.ndarray, offsets: np.ndarray, first: int, last: int) -> Tokens:
