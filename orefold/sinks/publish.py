@@ -156,8 +156,10 @@ def commit(spark: SparkSession, layer: str, staged: Sequence[Staged], keep: int
     versioned = [one for one in staged if one.fmt not in _TRANSACTIONAL]
     if versioned:
         with _committing:
-            aside = {one.table: _set_loaded_table_aside(spark, layer, one.table) for one in versioned}
+            aside: dict[str, str | None] = {}
             try:
+                for one in versioned:
+                    aside[one.table] = _set_loaded_table_aside(spark, layer, one.table)
                 record = {**read_commit(spark, layer), **{one.table: one.version for one in versioned}}
                 _write_commit(spark, layer, record)
             except Exception:

@@ -11,6 +11,7 @@ from orefold.llm.graph import components
 from orefold.llm.line_runs import repeated_line_runs
 from orefold.llm.near_dup import near_duplicates, superminhash
 from orefold.llm.repeats import repeated_bytes, sliding_minimum
+from orefold.llm.words import PrefixHashes
 
 from . import brute
 from .conftest import SMALL, by_id
@@ -53,6 +54,16 @@ def test_no_link_of_a_large_group_is_lost(documents, monkeypatch):
     assert got == sorted([(i, *expected[i]) for i, _ in rows], key=repr)
 
 
+def test_all_texts_of_an_id_are_linked(documents):
+    one, other = (" ".join(f"{c}{i}" for i in range(80)) for c in "ab")
+    rows = [(1, one), (1, other), (2, one + " tail"), (3, other + " tail"), (4, "far " + " ".join(f"c{i}" for i in range(80)))]
+    got = by_id(near_duplicates(documents(rows), shingle=2), "component_id", "kept")
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)]
+    rows = [(2, one), (3, other), (5, one + " x"), (5, other + " y")]
+    got = by_id(near_duplicates(documents(rows), shingle=2), "component_id")
+    assert got == [(2, 2), (3, 2), (5, 2), (5, 2)]
+
+
 def test_null_ids_and_empty_tables(documents):
     rows = [(None, "a b c"), (3, "a b c"), (4, None), (5, None)]
     got = by_id(near_duplicates(documents(rows), shingle=2), "n_shingles", "component_id", "kept")
@@ -125,19 +136,34 @@ def test_sliding_minimum():
 
 @pytest.mark.parametrize("length", [1, 2, 3, 5])
 def test_line_runs(documents, given, odd_rows, length):
-    rows = given + odd_rows
+    paragraph = " ".join(f"p{i}" for i in range(12))
+    rows = given + odd_rows + [(3000 + i, f"own {i}\n{paragraph}\nlast {i}\n{paragraph[:-4]}") for i in range(3)]
     ordered = in_order([(i, t or "") for i, t in rows])
-    flags = brute.repeated_units(lambda r: r[1].split("\n"), length, ordered)
+    expected = line_flags(ordered, length, 12)
+    assert length == 1 or [f for (i, _), f in zip(ordered, expected) if i == 3001] == [[False, True, False, False]]
     out = {}
-    for (i, t), gone in zip(ordered, flags):
+    for (i, t), gone in zip(ordered, expected):
         kept = "\n".join(x for x, g in zip(t.split("\n"), gone) if not g)
         found = brute.runs(gone)
         out[i, t] = (len(gone), sum(gone), len(found), max(found, default=0), brute.sha(kept.encode()))
-    df = repeated_line_runs(documents(rows), min_lines=length)
+    df = repeated_line_runs(documents(rows), min_lines=length, min_words=12)
     got = by_id(df, "n_lines", "n_removed", "n_runs", "longest_run", "kept_sha256")
     assert got == sorted([(i, *out[i, t or ""]) for i, t in rows], key=repr)
 
 
+def line_flags(ordered, min_lines, min_words):
+    """Per document which lines go: in later copies of runs, and long ones in later copies of themselves."""
+
+    def parts(row):
+        return row[1].split("\n")
+
+    runs, lines = (brute.repeated_units(parts, n, ordered) for n in (min_lines, 1))
+    return [
+        [a or (b and len(brute.WORD.findall(line)) >= min_words) for a, b, line in zip(of_runs, of_lines, parts(row))]
+        for of_runs, of_lines, row in zip(runs, lines, ordered)
+    ]
+
+
 def test_no_lines(documents):
     assert repeated_line_runs(documents([])).count() == 0
 
@@ -215,8 +241,44 @@ def test_queries_cover_the_table(spark, given, name):
     elif name == "op8_repeated_bytes":
         assert by_id(df, "n_bytes", "n_removed", "n_spans", "kept_sha256") == expected_bytes(given, 100)
     elif name == "op5_line_runs":
-        assert df.count() == len(given)
+        flags = line_flags(in_order([(i, t or "") for i, t in given]), 2, 50)
+        assert by_id(df, "n_removed") == sorted([(i, sum(f)) for (i, _), f in zip(in_order(given), flags)], key=repr)
     else:
         items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
         expected = brute.leaks(given, items)
         assert by_id(df, "item_id") == sorted([(i, k) for i, f in expected.items() for k in f], key=repr)
+
+
+# --- hashes -----------------------------------------------------------------
+
+
+def thue_morse(a, b, n=2048):
+    """A text and its complement that collide in any polynomial modulo 2^64."""
+    first = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join((a, b)[x] for x in first), "".join((b, a)[x] for x in first)
+
+
+def test_built_collisions_are_told_apart(documents):
+    x, y = thue_morse("a", "b")
+    filler = " ".join(f"f{i}" for i in range(20))
+    rows = [(1, f"{x} {x}"), (2, f"{y} {y}")]
+    got = by_id(near_duplicates(documents(rows), shingle=2), "component_id", "kept")
+    assert got == [(1, 1, True), (2, 2, True)]
+    rows = [(1, f"{x}\n{filler}"), (2, f"{y}\n{filler}")]
+    out = {r["doc_id"]: r["n_removed"] for r in repeated_line_runs(documents(rows)).collect()}
+    assert out == {1: 0, 2: 0}
+    out = {r["doc_id"]: r["n_removed"] for r in repeated_bytes(documents([(1, x[:1024]), (2, y[:1024])]), length=1000).collect()}
+    assert out == {1: 0, 2: 0}
+
+
+def test_hashes_do_not_depend_on_the_place():
+    rng = np.random.default_rng(5)
+    data = rng.integers(0, 256, 5000).astype(np.uint8)
+    data[3000:3400] = data[100:500]
+    hashes = PrefixHashes(data)
+    at = np.arange(300)
+    assert (hashes(at + 100, at + 200) == hashes(at + 3000, at + 3100)).all()
+    assert (hashes.windows(40)[100:400] == hashes.windows(40)[3000:3300]).all()
+    every = hashes(np.arange(2500), np.arange(2500) + 7)
+    assert len(np.unique(every)) == 2500
+    assert len(hashes.windows(6000)) == 0
