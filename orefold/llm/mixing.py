@@ -109,8 +109,10 @@ def mix_sources(
     budget = targets.join(last, F.col("source").eqNullSafe(F.col("_of")), "left").select(
         F.col("source").alias("_name"), "source_size", "target", "_whole", "_last"
     )
+    # A row per source: stored, its size is known and the documents need no shuffle by a few sources.
+    budget = materialize(budget, "mixing-budget")
     one_more = (F.col("_hash") <= F.coalesce("_last", F.lit(-1))).cast("long")
-    copies = (F.col("_whole") + one_more).alias("copies")
+    copies = F.least(F.col("_whole") + one_more, F.lit(max_repeats)).alias("copies")
     if whole_rows:
         row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
         base, shown = docs.select(row, F.col(source).alias("source"), hashed), ["row"]
