@@ -12,6 +12,11 @@ from ..session import materialize
 END = "<|end|>\n"
 
 
+def escaped(said: Column) -> Column:
+    """Without the characters that begin a mark, so that no text or role can forge one."""
+    return F.replace(said, F.lit("<|"), F.lit("<\\|"))
+
+
 def numbered_turns(turns: DataFrame, *, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """conv_id, role, text and the place `i` of each row in its conversation.
 
@@ -23,7 +28,7 @@ def numbered_turns(turns: DataFrame, *, conv: str, turn: str, role: str, text: s
         F.col(conv).alias("conv_id"),
         F.col(turn).alias("turn"),
         F.coalesce(F.col(role), F.lit("unknown")).alias("role"),
-        F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("<|"), F.lit("<\\|")).alias("text"),
+        escaped(F.coalesce(F.col(text), F.lit(""))).alias("text"),
     )
     cut = materialize(
         rows.repartitionByRange(*order).withColumn("shard", F.spark_partition_id()), "chat-turns"
@@ -68,7 +73,7 @@ def perspectives(
     Turns with equal numbers are ordered by role and text; null numbers come
     first; null roles are "unknown" and null texts empty; rows with null conv_id
     form one conversation; repeated rows are repeated turns; an empty table
-    gives no rows; marks in a text are escaped. Other columns are not looked at.
+    gives no rows; marks in a text or role are escaped. Other columns are not looked at.
     """
     placed = materialize(numbered_turns(turns, conv=conv, turn=turn, role=role, text=text), "chat-placed")
     parts = (
@@ -87,7 +92,7 @@ def perspectives(
         return (
             F.when(mine(t), F.lit("<|assistant|>\n"))
             .when(t["role"].isin(*narrators), F.lit("<|system|>\n"))
-            .otherwise(F.concat(F.lit("<|user name="), t["role"], F.lit("|>\n")))
+            .otherwise(F.concat(F.lit("<|user name="), escaped(t["role"]), F.lit("|>\n")))
         )
 
     def add(a: Column, t: Column) -> Column:
