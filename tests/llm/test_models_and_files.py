@@ -1,8 +1,10 @@
 """Token files, the language model and the pipeline."""
 
 import inspect
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -116,6 +118,45 @@ def test_the_model_prefers_text_to_shuffled_text(spark):
     assert score(plain) > score(mixed) + 0.03
 
 
+def test_scores_equal_plain_loops(documents, given, odd_rows, monkeypatch):
+    rows = given[:12] + [r for r in odd_rows if r[0] < 1010]
+    texts = [brute.WORD.findall((t or "").translate(brute._SMALL)) for _, t in rows]
+    counts = Counter(w for own in texts for w in own)
+    names = sorted(counts, key=lambda w: (-counts[w], w))
+    hashes = dict(zip(names, words(*text_buffers(pa.array(names)), 0, len(names)).hashes(lower=True).tolist()))
+    known = {hashes[w]: i for i, w in enumerate(names[:60])}
+    flat = pseudo_lm.Network.initial(np.arange(4096)[::-1]) + np.random.default_rng(4).normal(0, 0.3, pseudo_lm.Network.size())
+    vocabulary = pseudo_lm.Vocabulary.of(np.array([hashes[w] for w in names[:60]], np.uint64))
+    monkeypatch.setattr(pseudo_lm, "train_network", lambda *_, **__: (vocabulary, flat))
+
+    p = pseudo_lm.Network(flat).p
+
+    def log_softmax(values):
+        values = values.astype(np.float64)
+        return values - values.max() - np.log(np.exp(values - values.max()).sum())
+
+    def number(word):
+        return known.get(hashes[word], 3584 + hashes[word] % 512)
+
+    def score(own):
+        total = 0.0
+        for i, word in enumerate(own):
+            near = [number(own[i + o]) if 0 <= i + o < len(own) else 4096 for o in (-2, -1, 1, 2)]
+            h = np.tanh(np.concatenate([p["embedding"][n] for n in near]) @ p["hidden"] + p["hidden_bias"])
+            k, m = divmod(number(word), 64)
+            total += log_softmax(h @ p["classes"] + p["class_bias"])[k]
+            total += log_softmax(h @ p["members"][k] + p["member_bias"][k])[m]
+            if hashes[word] not in known:
+                bucket = [counts[w] for w in names[60:] if hashes[w] % 512 == hashes[word] % 512]
+                total += math.log(counts[word] / (sum(bucket) + 1))
+        return total
+
+    got = sorted((r["doc_id"], r["log_likelihood"]) for r in pseudo_lm.pseudo_likelihood(documents(rows)).collect())
+    expected = sorted((i, score(own)) for (i, _), own in zip(rows, texts))
+    assert [i for i, _ in got] == [i for i, _ in expected]
+    assert all(abs(a - b) < 1e-3 + 1e-5 * abs(b) for (_, a), (_, b) in zip(got, expected))
+
+
 def test_scores_of_odd_rows(spark, documents, given, odd_rows):
     rows = given[:50] + odd_rows
     out = pseudo_lm.pseudo_likelihood(documents(rows)).collect()
