@@ -21,6 +21,7 @@ def main() -> None:
     args.add_argument("lake", help="folder the three schemas are created in")
     args.add_argument("--max-rejects", type=int, help="malformed numbers to accept as null")
     args.add_argument("--salt-buckets", type=int, default=0, help="spread hot makes")
+    args.add_argument("--by-fingerprint", action="store_true", help="find exact copies without moving whole rows")
     given = args.parse_args()
 
     spark = build_session("car-market")
@@ -32,9 +33,12 @@ def main() -> None:
         layers,
         max_rejects=given.max_rejects,
         salt_buckets=given.salt_buckets,
+        by_fingerprint=given.by_fingerprint,
     )
-    for done in (*report.bronze.values(), report.silver, *report.gold.values()):
-        print(f"{done.table}: {done.rows} rows")
+    silver = (report.silver_dimension, report.silver, report.rejects)
+    for done in (*report.bronze.values(), *silver, *report.gold.values()):
+        if done:
+            print(f"{done.table}: {done.rows} rows")
     print(f"exact copies removed: {report.removed_copies(CAR_MARKET)}")
     gold = {t.name: read_gold(spark, layers.gold, t) for t in CAR_MARKET.gold}
     for name, panel in dashboard(gold).items():
