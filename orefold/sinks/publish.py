@@ -127,10 +127,11 @@ def stage(
     """Store `df` as a new version of `layer.table` without showing it."""
     spark = df.sparkSession
     ensure_layer(spark, layer, location)
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if layout is None:
         layout = layout_of(spark, layer, table, df.columns)
+    seen = Observation()
+    # After the rows are dealt out, as a task of an earlier stage may run and count twice.
+    counted = _dealt(df, layout).observe(seen, F.count(F.lit(1)).alias("rows"))
     stored_as = "parquet" if fmt in _TRANSACTIONAL else fmt
     version = write_version(counted, layer, table, fmt=stored_as, layout=layout)
     return Staged(table, version, seen.get["rows"], fmt)
@@ -229,20 +230,24 @@ def write_version(
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
     version = f"{layer}.{_version_prefix(table)}{stamp}_{uuid.uuid4().hex[:6]}"
     try:
-        _laid_out(df, layout).format(fmt).saveAsTable(_quoted(version))
+        _writer(df, layout).format(fmt).saveAsTable(_quoted(version))
     except Exception:
         _remove_failed(df.sparkSession, layer, version)
         raise
     return version
 
 
-def _laid_out(df: DataFrame, layout: Layout) -> DataFrameWriter:
+def _dealt(df: DataFrame, layout: Layout) -> DataFrame:
     if layout.buckets:
         # A task per bucket, so that a bucket is one file.
-        df = df.repartition(layout.buckets, *layout.bucket_by)
-    elif layout.partition_by:
+        return df.repartition(layout.buckets, *layout.bucket_by)
+    if layout.partition_by:
         # Few files per folder, and a hot value spread over several tasks.
-        df = df.hint("rebalance", *layout.partition_by)
+        return df.hint("rebalance", *layout.partition_by)
+    return df
+
+
+def _writer(df: DataFrame, layout: Layout) -> DataFrameWriter:
     writer = df.write.partitionBy(*layout.partition_by)
     if layout.buckets:
         writer = writer.bucketBy(layout.buckets, *layout.bucket_by)
