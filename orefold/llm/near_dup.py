@@ -19,6 +19,9 @@ _BLOCK = 1024
 _COLUMNS = 8192
 
 
+_SET = ["print_a", "print_b"]
+
+
 def shingle_sets(data, offsets, first: int, last: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct 64-bit hashes of the word shingles per text, and offsets.
 
@@ -93,6 +96,15 @@ def superminhash(sets: np.ndarray, offsets: np.ndarray, length: int) -> np.ndarr
     return signature.reshape(n, length)
 
 
+def _prints(sets: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """128 bits for each set, 0 for an empty one."""
+    prints = np.zeros((len(limits) - 1, 2), np.int64)
+    for i in np.flatnonzero(np.diff(limits)).tolist():
+        digest = hashlib.blake2b(sets[limits[i] : limits[i + 1]].tobytes(), digest_size=16).digest()
+        prints[i] = np.frombuffer(digest, np.int64)
+    return prints
+
+
 def _signing(size: int, length: int, bands: int):
     rows = length // bands
 
@@ -104,10 +116,7 @@ def _signing(size: int, length: int, bands: int):
                 counts = np.diff(limits)
                 full = np.flatnonzero(counts)
                 signature = superminhash(sets, np.concatenate([[0], np.cumsum(counts[full])]), length)
-                prints = np.zeros((last - first, 2), np.int64)
-                for i in full.tolist():
-                    digest = hashlib.blake2b(sets[limits[i] : limits[i + 1]].tobytes(), digest_size=16).digest()
-                    prints[i] = np.frombuffer(digest, np.int64)
+                prints = _prints(sets, limits)
                 keys = np.zeros((last - first, bands), np.uint64)
                 folded = np.arange(1, bands + 1, dtype=np.uint64)[None, :] * np.uint64(0xE7037ED1A0B428DB)
                 for r in range(rows):
@@ -135,9 +144,11 @@ def _setting(size: int):
             data, offsets = text_buffers(batch["text"])
             for first, last in chunks(offsets):
                 sets, limits = shingle_sets(data, offsets, first, last, size)
+                prints = _prints(sets, limits)
                 yield pa.record_batch(
                     {
-                        "rep": batch["doc_id"].slice(first, last - first),
+                        "print_a": pa.array(prints[:, 0]),
+                        "print_b": pa.array(prints[:, 1]),
                         "items": pa.ListArray.from_arrays(
                             pa.array(limits.astype(np.int32)), pa.array(sets.view(np.int64))
                         ),
@@ -173,8 +184,10 @@ def near_duplicates(
 
     Shingles are compared by 64-bit hashes and sets by 128-bit ones. Null and
     word-free texts have no shingles and are linked with nothing. Rows without
-    id are kept, with null component. Equal ids count as one document. Other
-    columns are not looked at.
+    id are kept, with null component. Equal ids count as one document with
+    several texts: what is near any of them is linked with it. Very long texts
+    are taken whole, an empty table gives no rows, and other columns are not
+    looked at.
     """
     given = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = materialize(
@@ -184,44 +197,64 @@ def near_duplicates(
         ),
         "near-signatures",
     )
-    same_set = ["print_a", "print_b"]
+    # A number of its own for each class, as documents of one id may be in several.
     classes = materialize(
         signed.filter("n_shingles > 0 and doc_id is not null")
-        .groupBy(*same_set)
-        .agg(F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands")),
+        .groupBy(*_SET)
+        .agg(F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
+        .withColumn("class", F.monotonically_increasing_id()),
         "near-classes",
     )
-    links = materialize(_links(given, classes, shingle, percent), "near-links")
-    found = components(links)
+    placed = materialize(signed.join(classes.select(*_SET, "class", "rep"), _SET, "left").drop("bands", *_SET), "near-rows")
+    links = _links(given, classes, shingle, percent).union(_same_id(placed))
+    found = components(materialize(links, "near-links"))
+    named = found.join(classes.select(F.col("class").alias("node"), "rep"), "node")
+    smallest = named.groupBy("component").agg(F.min("rep").alias("smallest"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("smallest", "rep", "doc_id")).alias("component_id")
     return (
-        signed.join(classes.select(*same_set, "rep"), same_set, "left")
-        .join(found, F.col("rep") == F.col("node"), "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id"),
-        )
+        placed.join(found.join(smallest, "component"), F.col("class") == F.col("node"), "left")
+        .select("doc_id", "n_shingles", component)
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
 
 
+def _same_id(placed: DataFrame) -> DataFrame:
+    """Links between the classes of documents that share an id."""
+    several = (
+        placed.filter(F.col("class").isNotNull())
+        .groupBy(F.col("doc_id").alias("of"))
+        .agg(F.min("class").alias("low"), F.max("class").alias("high"))
+        .filter("low < high")
+    )
+    several = materialize(several, "near-several")
+    return placed.join(several, F.col("doc_id") == F.col("of")).filter("class <> low").select(F.col("class").alias("u"), F.col("low").alias("v"))
+
+
 def _enough(common: Column, n_a: Column, n_b: Column, percent: int) -> Column:
     return common * 100 >= (n_a + n_b - common) * percent
 
 
 def _links(given: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    rows = classes.select("rep", "n", F.explode("bands").alias("key"))
+    rows = classes.select(F.col("class").alias("rep"), "n", F.explode("bands").alias("key"))
     shared = (
         rows.groupBy("key")
         .agg(F.count(F.lit(1)).alias("members"), F.min("rep").alias("hub"))
         .filter("members > 1")
     )
     buckets = materialize(rows.join(shared.select("key", "hub"), "key"), "near-buckets")
-    touched = materialize(buckets.select("rep").distinct(), "near-touched")
+    touched = materialize(
+        buckets.select(F.col("rep").alias("class")).distinct().join(classes.select("class", "rep", *_SET), "class"),
+        "near-touched",
+    )
+    # Stored by themselves, so that their measured size decides whether the texts are shuffled.
+    reps = materialize(touched.select(F.col("rep").alias("doc_id")).distinct(), "near-reps")
+    of_rep = given.join(reps, "doc_id", "left_semi")
     sets = materialize(
-        given.join(touched, F.col("doc_id") == F.col("rep"), "left_semi")
-        .mapInArrow(_setting(shingle), "rep long, items array<long>")
-        .dropDuplicates(["rep"]),
+        # One shuffle of the sets: the join finds them by the columns it needs.
+        of_rep.mapInArrow(_setting(shingle), "print_a long, print_b long, items array<long>")
+        .dropDuplicates(_SET)
+        .join(touched.select(F.col("class").alias("rep"), *_SET), _SET)
+        .select("rep", "items"),
         "near-sets",
     )
     pairs = buckets.filter("rep <> hub").select("rep", "hub").distinct()
