@@ -70,7 +70,7 @@ r AS (
   SELECT t.conv_id, p.speaker, t.i // 64 AS part, t.i, t.role = p.speaker AS mine,
          CASE WHEN t.role = p.speaker THEN '<|assistant|>' || chr(10)
               WHEN t.role = 'system' THEN '<|system|>' || chr(10)
-              ELSE '<|user name=' || t.role || '|>' || chr(10) END AS head,
+              ELSE '<|user name=' || replace(t.role, '<|', '<\|') || '|>' || chr(10) END AS head,
          t.body || '<|end|>' || chr(10) AS tail
   FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
 m AS (
@@ -82,7 +82,7 @@ SELECT conv_id, speaker, part, count(*) AS n_turns, count(*) FILTER (WHERE mine)
 FROM m GROUP BY conv_id, speaker, part
 """
 
-OP5 = """
+OP5 = r"""
 WITH l AS (
   SELECT doc_id, unnest(p) AS line, generate_subscripts(p, 1) AS i
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents)),
@@ -92,10 +92,14 @@ r AS (
 f AS (
   SELECT doc_id, i, row_number() OVER (PARTITION BY line, next ORDER BY doc_id, i) > 1 AS later
   FROM r WHERE has_next IS NOT NULL),
+s AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) > 1 AS later FROM l
+  WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 50),
 g AS (
-  SELECT l.doc_id, l.i, l.line, coalesce(a.later, false) OR coalesce(b.later, false) AS gone
+  SELECT l.doc_id, l.i, l.line, coalesce(a.later, false) OR coalesce(b.later, false) OR coalesce(s.later, false) AS gone
   FROM l LEFT JOIN f a ON l.doc_id = a.doc_id AND l.i = a.i
-         LEFT JOIN f b ON l.doc_id = b.doc_id AND l.i = b.i + 1),
+         LEFT JOIN f b ON l.doc_id = b.doc_id AND l.i = b.i + 1
+         LEFT JOIN s ON l.doc_id = s.doc_id AND l.i = s.i),
 h AS (
   SELECT *, i - row_number() OVER (PARTITION BY doc_id, gone ORDER BY i) AS run FROM g),
 k AS (SELECT doc_id, run, count(*) AS n FROM h WHERE gone GROUP BY doc_id, run),
