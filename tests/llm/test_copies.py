@@ -164,6 +164,37 @@ def line_flags(ordered, min_lines, min_words):
     ]
 
 
+@pytest.mark.parametrize("min_lines", [1, 2, 3])
+def test_copied_runs_occur_earlier_as_a_whole(documents, min_lines):
+    rng = random.Random(min_lines)
+    pool = [[rng.choice("abc") for _ in range(rng.randrange(1, 40))] for _ in range(8)]
+    runs = [rng.choice(pool) for _ in range(30)]
+    rows = [(n, "\n".join(a + [f"own {n}"] * (n % 3 == 0) + b)) for n, (a, b) in enumerate(zip(runs[::2], runs[1::2]))]
+    rows += [(50, "\n".join("uvwx")), (51, "\n".join("efgh")), (52, "\n".join("uvwxefgh")), (53, "\n".join(["a"] * 70))]
+    lines = [t.split("\n") for _, t in rows]
+    places = [(d, i) for d, of in enumerate(lines) for i in range(len(of))]
+
+    def common(p, q):
+        n = 0
+        for x, y in zip(lines[p[0]][p[1] :], lines[q[0]][q[1] :]):
+            if x != y:
+                break
+            n += 1
+        return n
+
+    expected = {i: [] for i, _ in rows}
+    ends = {}
+    for at, p in enumerate(places):
+        n = max((common(p, q) for q in places[:at]), default=0)
+        if n >= min_lines and p[1] + n > ends.get(p[0], 0):
+            ends[p[0]] = p[1] + n
+            expected[rows[p[0]][0]].append((p[1], n))
+    got = repeated_line_runs(documents(rows), min_lines=min_lines).select("doc_id", "copied", "n_runs").collect()
+    assert {r[0]: [tuple(c) for c in r[1]] for r in got} == expected
+    if min_lines > 1:
+        assert expected[52] == [(0, 4), (4, 4)] and {r[0]: r[2] for r in got}[52] == 1
+
+
 def test_no_lines(documents):
     assert repeated_line_runs(documents([])).count() == 0
 
