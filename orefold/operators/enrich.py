@@ -84,6 +84,7 @@ def enrich_left(
     hot_limit: int = 100,
     keys: DataFrame | None = None,
     hot: Sequence[Any] | None = None,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Left join on the one key column; facts without a match keep nulls.
 
@@ -98,9 +99,16 @@ def enrich_left(
     which runs the plan of the facts once more; `hot` names them where they are
     known already, as from `frequent_keys`, and nothing is counted.
 
+    With `shuffled` both sides shuffle on the key, also where `dim` is small
+    enough to broadcast, so that the rows of a key come out together and are summed
+    up by it with few groups per task. The facts are not sorted, but each task holds
+    its part of `dim`; meant for one that is not far from being broadcast.
+
     `unique=False` lets a dimension with several rows per key multiply facts.
     """
     checked = require_unique(dim, on) if unique else dim
+    if shuffled:
+        checked = checked.hint("shuffle_hash")
     if not salt_buckets:
         return facts.join(checked, on=on, how="left")
 

@@ -178,6 +178,7 @@ def _silver(
     hot_limit: int,
     by_fingerprint: bool,
     hot: Sequence | None = None,
+    shuffled: bool = False,
 ) -> DataFrame:
     return (
         facts.transform(clean, build.facts, build.sentinel, lenient)
@@ -192,6 +193,7 @@ def _silver(
             hot_limit=hot_limit,
             keys=_keys(facts, build, lenient) if hot is None else None,
             hot=hot,
+            shuffled=shuffled,
         )
     )
 
@@ -224,6 +226,11 @@ def _keys(facts: DataFrame, build: Build, lenient: bool) -> DataFrame:
 # Summing up by all gold keys first pays when it leaves at most this share of the rows.
 _FEW_GROUPS = 0.05
 
+# Numbers of dimension rows for which Silver is stored with the rows of a key together.
+# Dealt at random, each task that sums up meets nearly every key: its groups merge too
+# little and spill. A larger dimension is shuffled anyway, as the planner sees fit.
+_MANY_KEYS, _MOST_KEYS = 50_000, 10_000_000
+
 
 def run_layers(
     spark: SparkSession,
@@ -282,7 +289,8 @@ def run_layers(
 
         typed = typed_dimension(counts.watched(dimension, build.dimension, build.sentinel), build, lenient)
         by_snapshot = Layout(partition_by=build.snapshot_columns)
-        side = join_side(spark.table(put(typed, build.silver_dimension, by_snapshot).version), build)
+        stored_dimension = put(typed, build.silver_dimension, by_snapshot)
+        side = join_side(spark.table(stored_dimension.version), build)
         silver = _silver(
             counts.watched(facts, build.facts, build.sentinel),
             side,
@@ -292,6 +300,7 @@ def run_layers(
             hot_limit=hot_limit,
             by_fingerprint=by_fingerprint,
             hot=report.hot_keys,
+            shuffled=bool(build.gold) and _MANY_KEYS <= stored_dimension.rows <= _MOST_KEYS,
         )
         finest = F.approx_count_distinct(group_finest(build.gold)).alias("groups")
         put(silver.observe(groups, finest) if build.gold else silver, build.silver, silver_layout)

@@ -22,7 +22,8 @@ from orefold.plans.car_market import (
 from orefold.plans.gold import read_gold
 from orefold.plans.layers import Layers, TooManyRejects, run_layers
 from orefold.sinks import ensure_layer
-from orefold.sources import drop_bronze_audit
+from orefold.sources import drop_bronze_audit, read_table
+from orefold.workload import queries
 
 from .conftest import rows
 
@@ -325,3 +326,14 @@ def test_silver_by_fingerprint_and_in_buckets(spark, raw, layers):
     silver = read_table(spark, f"{layers.silver}.automobiles_enriched")
     for table in (PRICE_BY_MAKE, FUEL_RANKING):
         assert "Exchange" not in plan_of(build_gold(silver, replace(table, rank=None)))
+
+
+def test_rows_of_a_key_are_stored_together(spark, conf, monkeypatch):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    monkeypatch.setattr("orefold.plans.layers._MANY_KEYS", 1, raising=False)
+    monkeypatch.setattr(queries, "_built", {})
+    layers = queries.built_layers(spark, "/root/testdata/sf0.001")
+    silver = read_table(spark, f"{layers.silver}.{queries.LINES.silver}")
+    placed = silver.select("l_partkey", F.col("_metadata.file_path").alias("file"))
+    assert placed.select("file").distinct().count() > 1
+    assert placed.distinct().count() == placed.select("l_partkey").distinct().count()
