@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -179,10 +180,13 @@ def _silver(
     by_fingerprint: bool,
     hot: Sequence | None = None,
     shuffled: bool = False,
+    rows_by_key: int | None = None,
 ) -> DataFrame:
+    cleaned = facts.transform(clean, build.facts, build.sentinel, lenient)
+    if rows_by_key is not None:
+        cleaned = _dealt_by_key(cleaned, build.key, rows_by_key)
     return (
-        facts.transform(clean, build.facts, build.sentinel, lenient)
-        .transform(dedupe_by_fingerprint if by_fingerprint else dedupe)
+        cleaned.transform(dedupe_by_fingerprint if by_fingerprint else dedupe)
         .withColumns({name: make() for name, make in build.derived.items()})
         .transform(with_silver_audit)
         .transform(
@@ -198,6 +202,18 @@ def _silver(
     )
 
 
+def _dealt_by_key(facts: DataFrame, key: str, rows: int) -> DataFrame:
+    """Facts shuffled on the join key: copies meet there, and the join needs no shuffle of its own.
+
+    The number of tasks follows the rows, so that what a task holds to find
+    copies does not grow with the table; few rows are left to the planner.
+    """
+    tasks = min(math.ceil(rows / _TASK_ROWS), _MOST_TASKS)
+    if tasks <= facts.sparkSession.sparkContext.defaultParallelism:
+        return facts.repartition(F.col(key))
+    return facts.repartition(tasks, key)
+
+
 def cleaned_key(build: Build) -> Column:
     """The key of a raw fact row as Silver will have it; malformed ones are null."""
     raw, key = build.facts, F.col(build.key)
@@ -231,6 +247,10 @@ _FEW_GROUPS = 0.05
 # little and spill. A larger dimension is shuffled anyway, as the planner sees fit.
 _MANY_KEYS, _MOST_KEYS = 50_000, 10_000_000
 
+# Facts per task where they are dealt by their key alone. A key with more rows would make
+# its task long, so then copies are looked for by whole rows and the join shuffles again.
+_TASK_ROWS, _MOST_TASKS = 500_000, 20_000
+
 
 def run_layers(
     spark: SparkSession,
@@ -253,11 +273,15 @@ def run_layers(
     dimension become null and are listed in a table beside Silver, and with
     more Silver is left as it was. The tables of a layer are replaced in one
     commit: if one cannot be written, all stay as they were. The gold tables
-    are summed up together, from one scan of Silver. With `salt_buckets` the
-    frequent keys are observed while Bronze is written.
+    are summed up together, from one scan of Silver. The frequent keys are
+    observed while Bronze is written: `salt_buckets` spreads them, and where
+    there are none and the dimension is large, one shuffle on the key serves
+    both the search for copies and the join.
     """
     report = Report()
     keys = Observation()
+    by_key = bool(build.gold) and not salt_buckets and not by_fingerprint
+    watch_keys = by_key or bool(salt_buckets)
     for layer in (layers.bronze, layers.silver, layers.gold):
         ensure_layer(spark, layer, layers.folder(layer))
 
@@ -265,13 +289,13 @@ def run_layers(
         source = sources[raw.name]
         known = "_source_file" in source.columns
         audited = with_bronze_audit(source, None if known else raw.source_file)
-        if salt_buckets and raw is build.facts:
+        if watch_keys and raw is build.facts:
             audited = audited.observe(keys, frequent_keys(cleaned_key(build), hot_limit).alias("frequent"))
         return publish(audited, layers.bronze, raw.name, location=layers.folder(layers.bronze), fmt=layers.fmt)
 
     report.bronze = _side_by_side(put_bronze, (build.facts, build.dimension), spark)
+    frequent = (keys.get["frequent"] or []) if watch_keys else []
     if salt_buckets:
-        frequent = keys.get["frequent"] or []
         report.hot_keys = [row["item"] for row in frequent if row["item"] is not None]
 
     facts = read_table(spark, f"{layers.bronze}.{build.facts.name}")
@@ -291,6 +315,8 @@ def run_layers(
         by_snapshot = Layout(partition_by=build.snapshot_columns)
         stored_dimension = put(typed, build.silver_dimension, by_snapshot)
         side = join_side(spark.table(stored_dimension.version), build)
+        by_key = by_key and stored_dimension.rows >= _MANY_KEYS
+        by_key = by_key and max((row["count"] for row in frequent), default=0) <= _TASK_ROWS
         silver = _silver(
             counts.watched(facts, build.facts, build.sentinel),
             side,
@@ -301,6 +327,7 @@ def run_layers(
             by_fingerprint=by_fingerprint,
             hot=report.hot_keys,
             shuffled=bool(build.gold) and _MANY_KEYS <= stored_dimension.rows <= _MOST_KEYS,
+            rows_by_key=report.bronze[build.facts.name].rows if by_key else None,
         )
         finest = F.approx_count_distinct(group_finest(build.gold)).alias("groups")
         put(silver.observe(groups, finest) if build.gold else silver, build.silver, silver_layout)

@@ -337,3 +337,25 @@ def test_rows_of_a_key_are_stored_together(spark, conf, monkeypatch):
     placed = silver.select("l_partkey", F.col("_metadata.file_path").alias("file"))
     assert placed.select("file").distinct().count() > 1
     assert placed.distinct().count() == placed.select("l_partkey").distinct().count()
+
+
+def test_one_shuffle_by_key_serves_copies_and_join_unless_a_key_is_hot(spark, monkeypatch):
+    from orefold.plans import layers as module
+
+    from .conftest import plan_of
+
+    built, make = [], module._silver
+    monkeypatch.setattr(module, "_silver", lambda *a, **k: built.append(make(*a, **k)) or built[-1])
+    monkeypatch.setattr(module, "_MANY_KEYS", 1)
+
+    def shuffles_and_rows():
+        monkeypatch.setattr(queries, "_built", {})
+        stored = rows(queries.built_silver(spark, "/root/testdata/sf0.001"))
+        moved = [line for line in plan_of(built[-1]).splitlines() if line.startswith("Arguments: hashpartitioning(")]
+        return sum("qty" in line or "l_partkey" in line for line in moved), stored
+
+    once, together = shuffles_and_rows()
+    monkeypatch.setattr(module, "_TASK_ROWS", 2)  # every key is hot now
+    twice, apart = shuffles_and_rows()
+    # The dimension moves too, and once more to see that its keys are unique.
+    assert (once, twice) == (3, 4) and together == apart
