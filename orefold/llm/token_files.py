@@ -17,10 +17,12 @@ stay useful. With the index a reader can fetch frames in any order.
 from __future__ import annotations
 
 import json
+import operator
 import os
+import re
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +45,26 @@ _BETWEEN = "\x01"
 _TOGETHER = 5_000
 _encoders: dict[tuple[str, int], tuple] = {}
 
+# Rules under which a run of letters and what follows it without letters have ids of their
+# own, whatever the case of the letters.
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+# A word a line: letters of ASCII and Latin-1, which neither compose nor change their kind, then
+# ASCII without letters; or anything else.
+_LETTERS_AND_REST = re.compile(
+    rb"(?m)^(?:((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++)([!-@\[-`{-~]*+)$|.*$)"
+)
+
 Encode = Callable[[list[str]], Iterator[tuple[list[str], list[bytes]]]]
+Cut = Callable[[list[bytes]], tuple[list[bytes], list[bytes]]]
 
 
 def masked_crc(data: bytes) -> int:
@@ -77,8 +98,30 @@ def open_folder(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
 
 
-def json_tokenizer(path: str, end_id: int) -> tuple[Encode, np.dtype]:
-    """Encoder of word lists to bytes of ids, and the type of the ids.
+def whole(words: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+    return words, [b""] * len(words)
+
+
+def letters_and_rest(words: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+    """Two pieces of each word, whose ids in a row are those of the word; other words stay whole."""
+    found = _LETTERS_AND_REST.findall(b"\n".join(words)) if words else []
+    letters = b"\n".join([first for first, _ in found]).lower().split(b"\n")
+    return [first or word for first, word in zip(letters, words)], [rest for _, rest in found]
+
+
+def _cut_of(rules: dict) -> Cut:
+    """How words may be cut under the rules of a tokenizer."""
+    known = (
+        (rules["normalizer"] or {}).get("normalizers") == _NORMALIZERS
+        and (rules["pre_tokenizer"] or {}).get("pretokenizers") == _PRE_TOKENIZERS
+        # Added tokens are found first, so none may occur in a word that is cut.
+        and all(re.search(r"[!-@\[-`{-~].*[A-Za-z]", token["content"]) for token in rules["added_tokens"])
+    )
+    return letters_and_rest if known else whole
+
+
+def json_tokenizer(path: str, end_id: int) -> tuple[Encode, np.dtype, Cut]:
+    """Encoder of word lists to bytes of ids, the type of the ids, and how words may be cut.
 
     Calls cost more than words, so many words are encoded as one text. A word of
     letters alone ends with the one of its ids that marks a word's end; if that
@@ -92,7 +135,8 @@ def json_tokenizer(path: str, end_id: int) -> tuple[Encode, np.dtype]:
     tokenizer = Tokenizer.from_file(path)
     dtype = np.dtype("<u2" if max(tokenizer.get_vocab_size(), end_id + 1) <= 65536 else "<u4")
     mark = tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
-    suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix") or ""
+    rules = json.loads(tokenizer.to_str())
+    suffix = rules["model"].get("end_of_word_suffix") or ""
     last = np.zeros(tokenizer.get_vocab_size(), bool)
     if suffix:
         last[[i for t, i in tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
@@ -129,26 +173,36 @@ def json_tokenizer(path: str, end_id: int) -> tuple[Encode, np.dtype]:
             part = others[a : a + _TOGETHER]
             yield part, by_marks(part)
 
-    return encode, dtype
+    return encode, dtype, _cut_of(rules)
 
 
-class Memory(dict):
+class Memory:
     """Ids of words by their bytes; words not met for a while are forgotten."""
 
-    def __init__(self):
-        super().__init__()
+    def __init__(self, cut: Cut = whole):
+        # Plain dictionaries: sets are compared with these without a loop over all they hold.
+        self.ids: dict[bytes, bytes] = {b"": b""}
         self.older: dict[bytes, bytes] = {}
+        self.cut = cut
+
+    def _unknown(self, words: set[bytes]) -> set[bytes]:
+        """Those of `words` that are in neither generation; older ones come over."""
+        new = words.difference(self.ids)
+        back = self.older.keys() & new
+        self.ids.update(zip(back, map(self.older.__getitem__, back)))
+        return new - back
 
     def learn(self, words: set[bytes], encode: Encode) -> None:
-        if len(self) > _REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        new = words.difference(self)
-        for word in new.intersection(self.older):
-            self[word] = self.older[word]
-        new = new.difference(self.older)
-        for part, ids in encode(b"\n".join(new).decode().split("\n") if new else []):
-            self.update(zip("\n".join(part).encode().split(b"\n"), ids))
+        """Words that differ in case or in what follows their letters share the work."""
+        if len(self.ids) > _REMEMBERED:
+            self.older, self.ids = self.ids, {b"": b""}
+        new = list(self._unknown(words))
+        first, rest = self.cut(new)
+        pieces = self._unknown({*first, *rest})
+        for part, ids in encode(b"\n".join(pieces).decode().split("\n") if pieces else []):
+            self.ids.update(zip("\n".join(part).encode().split(b"\n"), ids))
+        of = self.ids.__getitem__
+        self.ids.update(zip(new, map(operator.add, map(of, first), map(of, rest))))
 
 
 def encoded(
@@ -157,21 +211,28 @@ def encoded(
     """Ids of each text and `end_id`, as bytes.
 
     The tokenizer's rules never look across ASCII white space, which it drops,
-    so a text's ids are those of its words in order. Each distinct word is
-    encoded by the tokenizer once and remembered in `known`.
+    so a text's ids are those of its words in order. Each distinct piece of a
+    word is encoded by the tokenizer once; the words are remembered in `known`.
     """
     end = np.array([end_id], dtype).tobytes()
-    held: list[list[bytes]] = []
+    held: list[bytes] = []
+    ends: list[int] = []
     size = 0
 
     def flush() -> Iterator[bytes]:
-        known.learn(set().union(*held), encode)
-        for parts in held:
-            yield b"".join(map(known.__getitem__, parts)) + end
+        ids = list(map(known.ids.get, held))
+        new = [i for i, found in enumerate(ids) if found is None]
+        known.learn({held[i] for i in new}, encode)
+        for i in new:
+            ids[i] = known.ids[held[i]]
+        for first, last in zip([0, *ends], ends):
+            yield b"".join(ids[first:last]) + end
         held.clear()
+        ends.clear()
 
     for text in texts:
-        held.append(text.split())
+        held += text.split()
+        ends.append(len(held))
         size += len(text)
         if size > _PIECE:
             yield from flush()
@@ -183,7 +244,8 @@ def _writing(folder: str, tokenizer: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A Python worker serves many tasks: the tokenizer and the words stay with it.
         if (tokenizer, end_id) not in _encoders:
-            _encoders[tokenizer, end_id] = (*json_tokenizer(tokenizer, end_id), Memory())
+            encode, dtype, cut = json_tokenizer(tokenizer, end_id)
+            _encoders[tokenizer, end_id] = encode, dtype, Memory(cut)
         encode, dtype, known = _encoders[tokenizer, end_id]
         task = TaskContext.get()
         shard = task.partitionId()

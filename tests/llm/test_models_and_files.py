@@ -81,6 +81,26 @@ def test_shuffled_reads_and_damage(spark, documents, given, direct):
         list(token_files.read_shard(folder, shard))
 
 
+def test_words_share_the_work_of_their_letters(direct):
+    encode, dtype, cut = token_files.json_tokenizer(TOKENIZER, 1)
+    asked = []
+
+    def watched(words):
+        asked.extend(words)
+        return encode(words)
+
+    known = token_files.Memory(cut)
+    known.learn({b"Lorem,", b"lorem.", b"LOREM", b"lorem"}, watched)
+    known.learn({b"Lorem", b"loreM.,"}, watched)
+    assert sorted(asked) == [",", ".", ".,", "lorem"]
+    odd = """It's don't, I'LL'S 'tis É, ÉA... ÀB×c Ñ÷ İ, I\u0307, J\u030c, j\u030c. H\u0331! Ab\u0301, ab1, A12,3 ß? ª. µM/
+        <|STARTOFTEXT|> <|startoftext|>, ab<|endoftext|> AB<|ENDOFTEXT|>, ΣΑΣ. ǅ, 漢字, _a_ a_ A'' a'S a"'s" \x01a a\x01 A\u2028b, Ẅ-"""
+    texts = [odd, odd.lower(), odd.upper(), odd.swapcase()]
+    made = token_files.encoded((t.encode() for t in texts), encode, dtype, 1, known)
+    for text, ids in zip(texts, made, strict=True):
+        assert np.frombuffer(ids, dtype).tolist() == [*direct.encode(text, add_special_tokens=False).ids, 1]
+
+
 # --- language model ---------------------------------------------------------
 
 
