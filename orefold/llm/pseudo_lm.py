@@ -20,7 +20,7 @@ _KNOWN = _CLASSES * _MEMBERS - _BUCKETS
 _PAD = _CLASSES * _MEMBERS
 _OFFSETS = (-2, -1, 1, 2)
 _BATCH = 4096
-_SCORE_BATCH = 1 << 15
+_SCORE_BATCH = 1 << 13
 _DISTINCT = 1 << 20  # distinct words a task holds before it passes counts on
 _SCALE = 2.0**24
 _BLOCK = 1 << 13
@@ -97,18 +97,31 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[n].ravel() for n in self.shapes]).astype(np.float64)
 
-    def _forward(self, context: np.ndarray):
+    def _hidden(self, context: np.ndarray):
         x = self.p["embedding"][context].reshape(len(context), -1)
-        h = np.tanh(x @ self.p["hidden"] + self.p["hidden_bias"])
-        return x, h, _log_softmax(h @ self.p["classes"] + self.p["class_bias"])
+        h = x @ self.p["hidden"]
+        h += self.p["hidden_bias"]
+        return x, np.tanh(h, out=h)
+
+    def _class_logits(self, h: np.ndarray) -> np.ndarray:
+        out = h @ self.p["classes"]
+        out += self.p["class_bias"]
+        return out
+
+    def _member_logits(self, h: np.ndarray, c: np.ndarray, cuts: list) -> np.ndarray:
+        """Of rows in the order of their classes `c`; all softmaxes are then taken at once."""
+        out = self.p["member_bias"][c]
+        for k, a, b in cuts:
+            out[a:b] += h[a:b] @ self.p["members"][k]
+        return out
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        _, h, by_class = self._forward(context)
-        c, m = np.divmod(target, _MEMBERS)
-        out = by_class[np.arange(len(c)), c].astype(np.float64)
-        for k, rows in _by_class(c):
-            inside = _log_softmax(h[rows] @ self.p["members"][k] + self.p["member_bias"][k])
-            out[rows] += inside[np.arange(len(rows)), m[rows]]
+        order, c, m, cuts = _by_class(target)
+        _, h = self._hidden(context[order])
+        found = _log_softmax_at(self._class_logits(h), c).astype(np.float64)
+        found += _log_softmax_at(self._member_logits(h, c, cuts), m)
+        out = np.empty(len(order))
+        out[order] = found
         return out
 
     def train(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
@@ -116,28 +129,34 @@ class Network:
         if self.squares is None:
             self.squares = {n: np.full(v.shape, 1e-6, np.float32) for n, v in self.p.items()}
         n = len(target)
-        x, h, by_class = self._forward(context)
-        c, m = np.divmod(target, _MEMBERS)
-        error = np.exp(by_class)
+        order, c, m, cuts = _by_class(target)
+        context = context[order]
+        x, h = self._hidden(context)
+        error = _softmax(self._class_logits(h))
         error[np.arange(n), c] -= 1
         error /= n
+        inside = _softmax(self._member_logits(h, c, cuts))
+        inside[np.arange(n), m] -= 1
+        inside /= n
         back = error @ self.p["classes"].T
+        members = np.zeros(self.shapes["members"], np.float32)
+        for k, a, b in cuts:
+            back[a:b] += inside[a:b] @ self.p["members"][k].T
+            np.matmul(h[a:b].T, inside[a:b], out=members[k])
         self._step("classes", h.T @ error, rate)
         self._step("class_bias", error.sum(0), rate)
-        for k, rows in _by_class(c):
-            inside = np.exp(_log_softmax(h[rows] @ self.p["members"][k] + self.p["member_bias"][k]))
-            inside[np.arange(len(rows)), m[rows]] -= 1
-            inside /= n
-            back[rows] += inside @ self.p["members"][k].T
-            self._step("members", h[rows].T @ inside, rate, k)
-            self._step("member_bias", inside.sum(0), rate, k)
-        back *= 1 - h * h
+        # A class without a row has no gradient and stays as it is.
+        self._step("members", members, rate)
+        bias = np.add.reduceat(inside, [a for _, a, _ in cuts], axis=0)
+        self._step("member_bias", bias, rate, [k for k, _, _ in cuts])
+        h *= h
+        back *= np.subtract(1, h, out=h)
         down = (back @ self.p["hidden"].T).reshape(n * len(_OFFSETS), -1)
         self._step("hidden", x.T @ back, rate)
         self._step("hidden_bias", back.sum(0), rate)
-        ids = context.ravel()
+        ids = context.ravel().astype(np.uint16)  # two bytes are sorted in linear time
         order = np.argsort(ids, kind="stable")
-        first = np.flatnonzero(np.diff(ids[order], prepend=-1))
+        first = np.flatnonzero(np.diff(ids[order], prepend=ids[order[:1]] + np.uint16(1)))
         self._step("embedding", np.add.reduceat(down[order], first, axis=0), rate, ids[order][first])
 
     def _step(self, name: str, gradient: np.ndarray, rate: float, at=...) -> None:
@@ -146,16 +165,29 @@ class Network:
         self.p[name][at] -= rate * gradient / np.sqrt(squares[at])
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """Of each row, in place."""
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
+    return logits
+
+
+def _log_softmax_at(logits: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The log softmax of one column of each row; `logits` are used up."""
+    logits -= logits.max(axis=1, keepdims=True)
+    found = logits[np.arange(len(column)), column]
+    np.exp(logits, out=logits)
+    return found - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
 
-def _by_class(c: np.ndarray):
+def _by_class(target: np.ndarray):
+    """An order of the rows by class; class, member and the (class, first, last) in that order."""
+    c, m = np.divmod(target.astype(np.uint16), np.uint16(_MEMBERS))
     order = np.argsort(c, kind="stable")
-    cuts = np.flatnonzero(np.diff(c[order], prepend=-1))
-    for rows in np.split(order, cuts[1:]) if len(order) else ():
-        yield int(c[rows[0]]), rows
+    c, m = c[order], m[order]
+    limits = np.searchsorted(c, np.arange(_CLASSES + 1)).tolist()
+    return order, c, m, [(k, a, b) for k, (a, b) in enumerate(zip(limits[:-1], limits[1:])) if a < b]
 
 
 def _contexts(ids: np.ndarray, text: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -251,3 +251,39 @@ def test_the_pipeline_takes_odd_rows(spark, documents, odd_rows):
             if name != "token_output":
                 assert out.columns == docs.columns
             out.collect()
+
+
+def test_a_step_takes_all_classes_at_once_and_is_that_of_plain_gradients(monkeypatch):
+    rng = np.random.default_rng(3)
+    flat = pseudo_lm.Network.initial(np.arange(4096)[::-1]) + rng.normal(0, 0.3, pseudo_lm.Network.size())
+    context, target = rng.integers(0, 4097, (500, 4)), rng.integers(64, 4096, 500)  # no word of class 0
+    calls, softmax = [], pseudo_lm._softmax
+    monkeypatch.setattr(pseudo_lm, "_softmax", lambda logits: calls.append(len(logits)) or softmax(logits))
+    network = pseudo_lm.Network(flat)
+    network.train(context, target, 0.05)
+    assert calls == [500, 500]
+    p = {name: value.astype(float) for name, value in pseudo_lm.Network(flat).p.items()}
+    gradients = {name: np.zeros(value.shape) for name, value in p.items()}
+    for words, word in zip(context, target):
+        c, m = divmod(int(word), 64)
+        x = p["embedding"][words].ravel()
+        h = np.tanh(x @ p["hidden"] + p["hidden_bias"])
+        errors = []
+        for logits, at in ((h @ p["classes"] + p["class_bias"], c), (h @ p["members"][c] + p["member_bias"][c], m)):
+            share = np.exp(logits - logits.max())
+            share /= share.sum()
+            share[at] -= 1
+            errors.append(share / len(target))
+        outer, inner = errors
+        back = (p["classes"] @ outer + p["members"][c] @ inner) * (1 - h * h)
+        gradients["classes"] += np.outer(h, outer)
+        gradients["class_bias"] += outer
+        gradients["members"][c] += np.outer(h, inner)
+        gradients["member_bias"][c] += inner
+        gradients["hidden"] += np.outer(x, back)
+        gradients["hidden_bias"] += back
+        np.add.at(gradients["embedding"], words, (p["hidden"] @ back).reshape(4, -1))
+    for name, gradient in gradients.items():
+        expected = p[name] - 0.05 * gradient / np.sqrt(1e-6 + gradient * gradient)
+        assert np.abs(network.p[name] - expected).max() < 1e-4, name
+    assert (network.p["members"][0] == pseudo_lm.Network(flat).p["members"][0]).all()
