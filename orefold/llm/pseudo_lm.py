@@ -18,10 +18,13 @@ _MEMBERS = 64
 _BUCKETS = 512  # ids that all rarer words share
 _KNOWN = _CLASSES * _MEMBERS - _BUCKETS
 _PAD = _CLASSES * _MEMBERS
+_PREFIX = np.uint64(48)  # bits of a hash below the 16 that words are looked up by
 _OFFSETS = (-2, -1, 1, 2)
 _BATCH = 4096
 _SCORE_BATCH = 1 << 13
+_FAR = 60.0  # sums of e ** -60 to e ** 60 stay well inside a 32-bit float
 _DISTINCT = 1 << 20  # distinct words a task holds before it passes counts on
+_SHARED = 1 << 18  # words of the buckets whose shares every scoring task holds; the others are joined
 _SCALE = 2.0**24
 _BLOCK = 1 << 13
 _FINE = 1e8
@@ -39,12 +42,20 @@ class Vocabulary:
         order = np.argsort(ranked)
         return cls(ranked[order], order.astype(np.int32))
 
+    def __post_init__(self):
+        known = self.hashes >> _PREFIX
+        self.first = np.searchsorted(known, np.arange(1 << 16, dtype=np.uint64)).astype(np.int32)
+        self.longest = int(np.bincount(known.astype(np.int64)).max(initial=0))
+
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        rare = (_KNOWN + (hashes % np.uint64(_BUCKETS)).astype(np.int32)).astype(np.int32)
-        if not len(self.hashes):
-            return rare
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.ids[at], rare)
+        ids = (hashes % np.uint64(_BUCKETS)).astype(np.int32)
+        ids += _KNOWN
+        at = self.first[hashes >> _PREFIX]
+        for _ in range(self.longest):  # known hashes that share a prefix stand side by side
+            found = np.flatnonzero(np.take(self.hashes, at, mode="clip") == hashes)
+            ids[found] = np.take(self.ids, at[found], mode="clip")
+            at += 1
+        return ids
 
 
 class Network:
@@ -71,6 +82,11 @@ class Network:
             n = int(np.prod(shape))
             self.p[name] = flat[at : at + n].reshape(shape).astype(np.float32)
             at += n
+        # Weights with their biases as a last row, which meets a column of ones; `p` keeps the parts.
+        self.outer = np.concatenate([self.p["classes"], self.p["class_bias"][None]])
+        self.inner = np.concatenate([self.p["members"], self.p["member_bias"][:, None]], axis=1)
+        self.p |= {"classes": self.outer[:-1], "class_bias": self.outer[-1]}
+        self.p |= {"members": self.inner[:, :-1], "member_bias": self.inner[:, -1]}
         self.squares = None
 
     @classmethod
@@ -98,28 +114,26 @@ class Network:
         return np.concatenate([self.p[n].ravel() for n in self.shapes]).astype(np.float64)
 
     def _hidden(self, context: np.ndarray):
-        x = self.p["embedding"][context].reshape(len(context), -1)
-        h = x @ self.p["hidden"]
-        h += self.p["hidden_bias"]
-        return x, np.tanh(h, out=h)
-
-    def _class_logits(self, h: np.ndarray) -> np.ndarray:
-        out = h @ self.p["classes"]
-        out += self.p["class_bias"]
-        return out
-
-    def _member_logits(self, h: np.ndarray, c: np.ndarray, cuts: list) -> np.ndarray:
-        """Of rows in the order of their classes `c`; all softmaxes are then taken at once."""
-        out = self.p["member_bias"][c]
+        """Embeddings of the neighbours; the hidden layer beside a column of ones."""
+        x = np.take(self.p["embedding"], context, axis=0, mode="clip").reshape(len(context), -1)
+        part = x @ self.p["hidden"]
+        part += self.p["hidden_bias"]
+        h = np.ones((len(x), part.shape[1] + 1), np.float32)
+        h[:, :-1] = np.tanh(part, out=part)
+        return x, h
+
+    def _member_logits(self, h: np.ndarray, cuts: list) -> np.ndarray:
+        """Of rows in the order of their classes; all softmaxes are then taken at once."""
+        out = np.empty((len(h), _MEMBERS), np.float32)
         for k, a, b in cuts:
-            out[a:b] += h[a:b] @ self.p["members"][k]
+            np.matmul(h[a:b], self.inner[k], out=out[a:b])
         return out
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         order, c, m, cuts = _by_class(target)
         _, h = self._hidden(context[order])
-        found = _log_softmax_at(self._class_logits(h), c).astype(np.float64)
-        found += _log_softmax_at(self._member_logits(h, c, cuts), m)
+        found = _log_softmax_at(h @ self.outer, c).astype(np.float64)
+        found += _log_softmax_at(self._member_logits(h, cuts), m)
         out = np.empty(len(order))
         out[order] = found
         return out
@@ -127,56 +141,69 @@ class Network:
     def train(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
         """One Adagrad step."""
         if self.squares is None:
-            self.squares = {n: np.full(v.shape, 1e-6, np.float32) for n, v in self.p.items()}
+            own = {n: self.p[n] for n in ("embedding", "hidden", "hidden_bias")}
+            own |= {"outer": self.outer, "inner": self.inner}
+            self.squares = {n: (v, np.full(v.shape, 1e-6, np.float32)) for n, v in own.items()}
         n = len(target)
         order, c, m, cuts = _by_class(target)
         context = context[order]
         x, h = self._hidden(context)
-        error = _softmax(self._class_logits(h))
+        error = _softmax(h @ self.outer)
         error[np.arange(n), c] -= 1
-        error /= n
-        inside = _softmax(self._member_logits(h, c, cuts))
+        inside = _softmax(self._member_logits(h, cuts))
         inside[np.arange(n), m] -= 1
-        inside /= n
-        back = error @ self.p["classes"].T
-        members = np.zeros(self.shapes["members"], np.float32)
+        back = error @ self.outer[:-1].T
+        part = np.empty_like(back)
+        # A class without a row has no gradient and stays as it is.
+        members = np.zeros(self.inner.shape, np.float32)
         for k, a, b in cuts:
-            back[a:b] += inside[a:b] @ self.p["members"][k].T
+            np.matmul(inside[a:b], self.inner[k, :-1].T, out=part[a:b])
             np.matmul(h[a:b].T, inside[a:b], out=members[k])
-        self._step("classes", h.T @ error, rate)
-        self._step("class_bias", error.sum(0), rate)
-        # A class without a row has no gradient and stays as it is.
-        self._step("members", members, rate)
-        bias = np.add.reduceat(inside, [a for _, a, _ in cuts], axis=0)
-        self._step("member_bias", bias, rate, [k for k, _, _ in cuts])
+        back += part
+        self._step("outer", h.T @ error, n, rate)
+        self._step("inner", members, n, rate)
         h *= h
-        back *= np.subtract(1, h, out=h)
+        back *= np.subtract(1, h[:, :-1], out=part)
         down = (back @ self.p["hidden"].T).reshape(n * len(_OFFSETS), -1)
-        self._step("hidden", x.T @ back, rate)
-        self._step("hidden_bias", back.sum(0), rate)
-        ids = context.ravel().astype(np.uint16)  # two bytes are sorted in linear time
+        self._step("hidden", x.T @ back, n, rate)
+        self._step("hidden_bias", np.ones(n, np.float32) @ back, n, rate)
+        ids = context.ravel().astype(np.uint16, copy=False)  # two bytes are sorted in linear time
         order = np.argsort(ids, kind="stable")
-        first = np.flatnonzero(np.diff(ids[order], prepend=ids[order[:1]] + np.uint16(1)))
-        self._step("embedding", np.add.reduceat(down[order], first, axis=0), rate, ids[order][first])
-
-    def _step(self, name: str, gradient: np.ndarray, rate: float, at=...) -> None:
-        squares = self.squares[name]
-        squares[at] += gradient * gradient
-        self.p[name][at] -= rate * gradient / np.sqrt(squares[at])
+        ids = ids[order]
+        first = np.flatnonzero(np.diff(ids, prepend=ids[:1] + np.uint16(1)))
+        # Two numbers at a time are summed up as the parts of a complex one.
+        down = np.take(down, order, axis=0, mode="clip").view(np.complex64)
+        self._step("embedding", np.add.reduceat(down, first, axis=0).view(np.float32), n, rate, ids[first])
+
+    def _step(self, name: str, gradient: np.ndarray, n: int, rate: float, at=...) -> None:
+        """By the gradient summed over `n` rows, which is used up."""
+        values, squares = self.squares[name]
+        gradient /= n
+        part = gradient * gradient
+        part += squares[at]
+        squares[at] = part
+        gradient /= np.sqrt(part, out=part)
+        gradient *= rate
+        values[at] -= gradient
+
+
+def _in_range(logits: np.ndarray) -> np.ndarray:
+    """Less the maximum of each row, in place, where a float could not hold the exponentials."""
+    if max(logits.max(initial=0), -logits.min(initial=0)) > _FAR:
+        logits -= logits.max(axis=1, keepdims=True)
+    return logits
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
     """Of each row, in place."""
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
+    np.exp(_in_range(logits), out=logits)
+    logits *= 1 / (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
     return logits
 
 
 def _log_softmax_at(logits: np.ndarray, column: np.ndarray) -> np.ndarray:
     """The log softmax of one column of each row; `logits` are used up."""
-    logits -= logits.max(axis=1, keepdims=True)
-    found = logits[np.arange(len(column)), column]
+    found = _in_range(logits)[np.arange(len(column)), column]
     np.exp(logits, out=logits)
     return found - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
@@ -192,12 +219,15 @@ def _by_class(target: np.ndarray):
 
 def _contexts(ids: np.ndarray, text: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Ids of the neighbours of the places `at`, the pad id beyond the text."""
-    out = np.full((len(at), len(_OFFSETS)), _PAD, np.int32)
+    most = max(map(abs, _OFFSETS))
+    ids = np.pad(ids.astype(np.uint16), most, constant_values=_PAD)
+    text = np.pad(text, most, constant_values=-1)
+    out = np.empty((len(at), len(_OFFSETS)), np.uint16)
+    at = at + most
+    own = text[at]
     for j, offset in enumerate(_OFFSETS):
         near = at + offset
-        good = (near >= 0) & (near < len(ids))
-        good[good] = text[near[good]] == text[at[good]]
-        out[good, j] = ids[near[good]]
+        out[:, j] = np.where(text[near] == own, ids[near], _PAD)
     return out
 
 
@@ -242,9 +272,9 @@ def _training(shared, rate: float, percent: int, round_: int):
                 ids = vocabulary(hashes)
                 place = np.arange(len(ids), dtype=np.uint64)
                 masked = np.flatnonzero(_masked(hashes, place, percent, round_))
+                context, target = _contexts(ids, tokens.text, masked), ids[masked]
                 for a in range(0, len(masked), _BATCH):
-                    at = masked[a : a + _BATCH]
-                    network.train(_contexts(ids, tokens.text, at), ids[at], rate)
+                    network.train(context[a : a + _BATCH], target[a : a + _BATCH], rate)
                 seen += len(masked)
         if seen:
             # Integers, so that the sum over tasks does not depend on their order.
@@ -293,23 +323,65 @@ def _rare(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return hashes[at], text[at], np.diff(np.append(at, len(hashes)))
 
 
-def _inside(places: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """row, inside: sum of log P(word | bucket) over `places` (row, word, times).
+@dataclass
+class Shares:
+    """log P(word | bucket) of the most frequent words of the buckets, for the tasks that score."""
+
+    hashes: np.ndarray
+    log_share: np.ndarray
+
+    @classmethod
+    def of(cls, words: np.ndarray, n: np.ndarray, totals: np.ndarray) -> Shares:
+        hashes = words.astype(np.int64).view(np.uint64)
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        return cls(hashes, np.log(n[order] / (totals[(hashes % np.uint64(_BUCKETS)).astype(np.int64)] + 1)))
+
+    def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each word is one of them, and the shares of those that are."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), bool), np.zeros(0)
+        at = np.searchsorted(self.hashes, hashes)
+        found = np.take(self.hashes, at, mode="clip") == hashes
+        return found, self.log_share[at[found]]
+
+
+def _shared(rare: DataFrame) -> tuple[Shares, np.ndarray, int]:
+    """Shares of at most `_SHARED` words, words in each bucket, and the least count of the shares.
+
+    The counts of a level are within a factor of 1.1, so there are a few hundred levels at most.
+    """
+    bucket = F.col("word").bitwiseAND(F.lit(_BUCKETS - 1)).alias("bucket")
+    found = rare.groupBy(bucket).agg(F.sum("n").alias("total")).toPandas()
+    totals = np.zeros(_BUCKETS)
+    totals[found["bucket"].to_numpy(np.int64)] = found["total"].to_numpy(np.float64)
+    level = F.floor(F.log2("n") * 8).alias("level")
+    levels = rare.groupBy(level).agg(F.min("n").alias("least"), F.count("*").alias("words")).toPandas()
+    levels = levels.sort_values("least", ascending=False)
+    taken = levels[levels["words"].cumsum() <= _SHARED]
+    if not len(taken):
+        return Shares.of(np.zeros(0, np.int64), np.zeros(0), totals), totals, 2**62
+    least = int(taken["least"].iloc[-1])
+    most = rare.where(F.col("n") >= least).select("word", "n").toPandas()
+    return Shares.of(most["word"].to_numpy(np.int64), most["n"].to_numpy(np.float64), totals), totals, least
+
+
+def _inside(places: DataFrame, rare: DataFrame, totals: np.ndarray, least: int) -> DataFrame:
+    """row, inside: sum of log P(word | bucket) over `places` (row, word, times) of words below `least`.
 
     One count more than a bucket holds is left to words that were not counted.
+    These count as words that occur once do, so the latter need not be joined.
     """
-    known = counts.sparkSession.createDataFrame([(w,) for w in vocabulary.hashes.view(np.int64).tolist()], "word long")
-    # Unsigned hashes modulo a power of two.
+    spark = places.sparkSession
     bucket = F.col("word").bitwiseAND(F.lit(_BUCKETS - 1)).alias("bucket")
-    rare = counts.join(F.broadcast(known), "word", "left_anti")
-    totals = materialize(rare.groupBy(bucket).agg(F.sum("n").alias("total")), "lm-buckets")
-    share = F.log(F.coalesce(F.col("n"), F.lit(1)) / (F.coalesce(F.col("total"), F.lit(0)) + 1))
+    own = spark.createDataFrame(list(enumerate(totals.astype(np.int64).tolist())), "bucket long, total long")
+    share = F.log(F.coalesce(F.col("n"), F.lit(1)) / (F.col("total") + 1))
     # Integers, so that a sum does not depend on the order of its terms.
     part = F.round(F.col("times") * share * _FINE).cast("long")
     return (
-        places.join(rare, "word", "left")
+        places.join(rare.where((F.col("n") > 1) & (F.col("n") < least)), "word", "left")
         .select("row", "times", "n", bucket)
-        .join(F.broadcast(totals), "bucket", "left")
+        .join(F.broadcast(own), "bucket")
         .groupBy("row")
         .agg((F.sum(part) / _FINE).alias("inside"))
     )
@@ -317,7 +389,7 @@ def _inside(places: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> Dat
 
 def _scoring(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, flat = shared.value
+        vocabulary, flat, shares = shared.value
         network = Network(flat)
         for batch in batches:
             data, offsets = text_buffers(batch["text"])
@@ -325,12 +397,17 @@ def _scoring(shared):
                 tokens = words(data, offsets, first, last)
                 hashes = tokens.hashes(lower=True)
                 ids = vocabulary(hashes)
+                context = _contexts(ids, tokens.text, np.arange(len(ids)))
                 each = np.zeros(len(ids))
                 for a in range(0, len(ids), _SCORE_BATCH):
-                    at = np.arange(a, min(a + _SCORE_BATCH, len(ids)))
-                    each[at] = network.log_probabilities(_contexts(ids, tokens.text, at), ids[at])
+                    at = slice(a, a + _SCORE_BATCH)
+                    each[at] = network.log_probabilities(context[at], ids[at])
+                at = np.flatnonzero(ids >= _KNOWN)
+                found, inside = shares(hashes[at])
+                each[at[found]] += inside
                 total = np.bincount(tokens.text, each, minlength=last - first)
-                rare, text, times = _rare(hashes[ids >= _KNOWN], tokens.text[ids >= _KNOWN])
+                at = at[~found]
+                rare, text, times = _rare(hashes[at], tokens.text[at])
                 limits = np.searchsorted(text, np.arange(last - first + 1)).astype(np.int32)
                 yield pa.record_batch(
                     {
@@ -396,7 +473,8 @@ def pseudo_likelihood(
     documents (`train_network`); `per_word` is its mean. ASCII case is ignored.
     The network predicts the 3584 most frequent words and 512 buckets of all
     others; a word of a bucket takes its share of the bucket's probability by
-    its count, so that every distinct word has a probability of its own.
+    its count, so that every distinct word has a probability of its own. The
+    counts of the most frequent of these are sent to the tasks, the others are joined.
 
     Null and word-free texts have no words, log_likelihood 0 and null per_word.
     Repeated rows get equal scores; an empty table gives none; other columns are
@@ -404,8 +482,12 @@ def pseudo_likelihood(
     """
     given = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     counts = word_counts(given.select("text"))
-    model = train_network(given.select("text"), rounds=rounds, percent=percent, counts=counts)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    vocabulary, flat = train_network(given.select("text"), rounds=rounds, percent=percent, counts=counts)
+    spark = docs.sparkSession
+    known = spark.createDataFrame([(w,) for w in vocabulary.hashes.view(np.int64).tolist()], "word long")
+    rare = counts.join(F.broadcast(known), "word", "left_anti")
+    shares, totals, least = _shared(rare)
+    shared = spark.sparkContext.broadcast((vocabulary, flat, shares))
     scored = materialize(
         given.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
             _scoring(shared),
@@ -416,7 +498,7 @@ def pseudo_likelihood(
     places = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
         "row", F.col("r.rare").alias("word"), F.col("r.times").alias("times")
     )
-    inside = _inside(places, counts, model[0])
+    inside = _inside(places, rare, totals, least)
     summed = scored.drop("rare", "times").join(inside, "row", "left").withColumn(
         "log_likelihood", F.col("log_likelihood") + F.coalesce(F.col("inside"), F.lit(0.0))
     )

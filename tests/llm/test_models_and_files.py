@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as contract
 import corpus_pipeline
 from orefold.llm import pseudo_lm, token_files
+from orefold.llm import words as word_module
 from orefold.llm.queries import TOKENIZER
 from orefold.llm.words import text_buffers, words
 from orefold.session import scratch_path
@@ -287,3 +288,58 @@ def test_a_step_takes_all_classes_at_once_and_is_that_of_plain_gradients(monkeyp
         expected = p[name] - 0.05 * gradient / np.sqrt(1e-6 + gradient * gradient)
         assert np.abs(network.p[name] - expected).max() < 1e-4, name
     assert (network.p["members"][0] == pseudo_lm.Network(flat).p["members"][0]).all()
+
+
+def test_only_places_of_infrequent_words_are_joined(documents, monkeypatch):
+    names = [f"w{i}" for i in range(4200)]
+    hashes = words(*text_buffers(pa.array(names)), 0, len(names)).hashes(lower=True)
+    model = pseudo_lm.Vocabulary.of(hashes[:3584]), pseudo_lm.Network.initial(np.arange(4096)[::-1])
+    monkeypatch.setattr(pseudo_lm, "train_network", lambda *_, **__: model)
+    # 516 words occur once, 60 three times in two texts, 40 nine times in one.
+    rows = [(0, " ".join(names[:4000] + names[4001:4100])), (1, " ".join(names[4100:4160] * 2))]
+    rows += [(2, " ".join(names[4100:4160])), (3, " ".join(names[4160:] * 9)), (4, None), (5, names[4000])]
+    joined, inside = [], pseudo_lm._inside
+
+    def spied(places, *rest):
+        joined.append(places.count())
+        return inside(places, *rest)
+
+    monkeypatch.setattr(pseudo_lm, "_inside", spied)
+    scores = []
+    for most in (0, 70, 200, 10_000):
+        monkeypatch.setattr(pseudo_lm, "_SHARED", most)
+        out = pseudo_lm.pseudo_likelihood(documents(rows)).collect()
+        scores.append([r["log_likelihood"] for r in sorted(out)])
+    assert joined == [516 + 120 + 40, 516 + 120, 516, 0]
+    assert all(abs(a - b) < 2e-4 for other in scores[1:] for a, b in zip(scores[0], other, strict=True))
+
+
+def test_words_are_hashed_by_blocks(monkeypatch):
+    texts = ["", "a bc  def", None, "x" * 500, " ", *["Some words é " * 40] * 3, "", "end"]
+    data, offsets = text_buffers(pa.array(texts))
+    taken, whole = [], word_module.PrefixHashes
+    monkeypatch.setattr(word_module, "PrefixHashes", lambda data, *rest: taken.append(len(data)) or whole(data, *rest))
+    monkeypatch.setattr(word_module, "_HASH_BLOCK", 64, raising=False)
+    for find in (words, word_module.lines):
+        tokens = find(data, offsets, 0, len(texts))
+        got = tokens.hashes(lower=True)
+        assert (got == whole(tokens.data, True)(tokens.start, tokens.end)).all()
+        longest = (tokens.end - tokens.start).max()
+        assert max(taken) <= 64 + longest and len(got) == len(tokens.text) == tokens.counts.sum()
+        taken.clear()
+        owners = [i for i, n in enumerate(tokens.counts) for _ in range(n)]
+        assert tokens.text.tolist() == owners
+        assert all(offsets[i] <= a <= b <= offsets[i + 1] for i, a, b in zip(owners, tokens.start, tokens.end))
+        assert len(find(data, offsets, 0, 1).hashes()) == (find is not words)
+
+
+def test_softmaxes_of_near_and_far_logits():
+    plain = np.random.default_rng(5).normal(0, 3, (4, 64))
+    far = plain + np.array([[0], [200], [-300], [1000]])
+    column = np.array([0, 5, 63, 7])
+    for logits in (plain, far):
+        share = np.exp(logits - logits.max(1, keepdims=True))
+        share /= share.sum(1, keepdims=True)
+        assert np.abs(pseudo_lm._softmax(logits.astype(np.float32)) - share).max() < 1e-4
+        found = pseudo_lm._log_softmax_at(logits.astype(np.float32), column)
+        assert np.abs(found - np.log(share[np.arange(4), column])).max() < 1e-3
